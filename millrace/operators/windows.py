@@ -8,13 +8,15 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.spans import common, interval, text
+from millrace.functions.spans import common, floor_time, interval, text
 from millrace.operators.ordered import count, ordered
 
 # How the values of two panes of the same window combine.
 MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 FOLDS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 
+STRETCH = 8  # sliding windows are summed in stretches of time this many windows long
+
 # name -> (count | sum | min | max, column); a count without a column counts rows.
 Folds = Mapping[str, tuple[str, Column | str | None]]
 
@@ -36,14 +38,29 @@ def sliding(df: DataFrame, ts: str, size: timedelta, slide: timedelta, keys: Seq
             aggs: Folds) -> DataFrame:
     """Sliding windows.
 
-    Rows are first folded into panes that no window cuts; only the panes are copied into their
-    size/slide windows. A hot key shrinks to one row per pane and task before the first shuffle.
+    Rows are first folded into panes that no window cuts, so a hot key shrinks to one row per pane
+    and task before the first shuffle. The panes, not their size/slide copies, then move to the
+    task that owns their key and stretch of time; the copies are made and summed there.
     """
-    pane = common(size, slide)
-    panes = df.groupBy(F.window(ts, text(pane))["start"].alias("__pane"), *keys).agg(
-        *_fold(aggs))
-    return _bounds(panes.groupBy(F.window("__pane", text(size), text(slide)), *keys).agg(
-        *_merge(aggs)))
+    pane, stretch = common(size, slide), STRETCH * size
+    copies = -(-size // slide)
+    panes = df.groupBy(F.window(ts, text(pane))["start"].alias("__pane"), *keys).agg(*_fold(aggs))
+    panes = panes.withColumn("__newest", F.col("__pane") if pane == slide else floor_time("__pane", slide))
+    panes = panes.withColumn("__oldest", F.col("__newest") - interval((copies - 1) * slide))
+    panes = panes.withColumn("__hi", floor_time("__newest", stretch))
+    panes = panes.withColumn("__lo", floor_time("__oldest", stretch))
+    owned = panes.withColumn("__stretch", F.explode(F.array_distinct(F.array("__lo", "__hi"))))
+    # A fixed number of partitions: sizes seen before the copies are made would merge too many.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owned = owned.drop("__oldest", "__hi", "__lo").repartition(tasks, *keys, "__stretch")
+    copied = owned.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__back"))
+    start = F.col("window_start")
+    copied = copied.withColumn("window_start", F.col("__newest") - F.col("__back") * interval(slide)).where(
+        (start >= F.col("__stretch")) & (start < F.col("__stretch") + interval(stretch)))
+    if size % slide:
+        copied = copied.where(start + interval(size) > F.col("__pane"))
+    out = copied.groupBy("window_start", "__stretch", *keys).agg(*_merge(aggs))
+    return out.select("window_start", (start + interval(size)).alias("window_end"), *keys, *aggs)
 
 
 def sessions(df: DataFrame, ts: str, gap: timedelta, keys: Sequence[str],
