@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 # Fixed values of the marketing events.
 BEHAVIORS = ["DOWNLOAD", "INSTALL", "UPDATE", "UNINSTALL"]
@@ -28,28 +30,34 @@ def marketing_events(spark: SparkSession, rows: int, seed: int = 0, start_ms: in
         (F.lit(start_ms) + F.col("id") * 1000).alias("ts"))
 
 
-class SensorReader(SimpleDataSourceStreamReader):
+class SensorReader(DataSourceStreamReader):
+    """Rows fall due by the clock, ``rowsPerSecond`` of them since ``start`` (epoch seconds).
+
+    A row depends on the seed and its number only, so executors can make any range again.
+    """
+
     def __init__(self, options):
         self.seed = int(options.get("seed", "0"))
-        self.per_batch = int(options.get("rowsPerBatch", "10"))
+        self.rate = int(options.get("rowsPerSecond", "1"))
+        self.start = float(options.get("start", time.time()))
         self.total = int(options.get("rows", "0"))  # 0: no end
+        self.parts = int(options.get("numPartitions", "4"))
 
     def initialOffset(self):
         return {"row": 0}
 
-    def read(self, start):
-        end = start["row"] + self.per_batch
-        if self.total:
-            end = min(end, self.total)
-        return self.rows(start["row"], end), {"row": end}
+    def latestOffset(self):
+        due = int(max(0.0, time.time() - self.start) * self.rate)
+        return {"row": min(due, self.total) if self.total else due}
 
-    def readBetweenOffsets(self, start, end):
-        return self.rows(start["row"], end["row"])
+    def partitions(self, start, end):
+        step = max(1, -(-(end["row"] - start["row"]) // self.parts))
+        return [InputPartition((low, min(low + step, end["row"]))) for low in range(start["row"], end["row"], step)]
 
-    def rows(self, start, end):
+    def read(self, partition):
         from random import Random
 
-        for n in range(start, end):
+        for n in range(*partition.value):
             draw = Random(self.seed * 1_000_003 + n)
             yield f"sensor_{draw.randrange(3)}", n * 1000, 40 + draw.randrange(10)
 
@@ -64,7 +72,7 @@ class SensorSource(DataSource):
     def schema(self):
         return "id string, ts bigint, vc int"
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return SensorReader(self.options)
 
 

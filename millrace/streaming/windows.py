@@ -54,11 +54,17 @@ def approx_per_window(df: DataFrame, ts: str, size: timedelta, value: str, rsd=0
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, size: timedelta) -> DataFrame:
-    """Inner join on equal keys and the same window; both sides need a watermark."""
-    mark = lambda df, name: df.withColumn(name, F.window(ts, text(size)))
-    left = mark(left, "window")
-    right = mark(right, "window").withColumnRenamed(ts, f"right_{ts}")
-    return left.join(right, [*keys, "window"])
+    """Inner join on equal keys and the same window; both sides need a watermark.
+
+    The window carries the watermark on; the two times come back as plain timestamps.
+    """
+    plain = F.timestamp_micros(F.unix_micros(ts))
+
+    def mark(df, name):
+        kept = [c for c in df.columns if c != ts]
+        return df.select(F.window(ts, text(size)).alias("window"), *kept, plain.alias(name))
+
+    return mark(left, ts).join(mark(right, f"right_{ts}"), [*keys, "window"])
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,

@@ -45,7 +45,7 @@ def test_generators(spark, drain):
 
 
 def test_sensor_stream(spark, tmp_path):
-    df = generators.stream_sensors(spark, seed=3, rows=25, rowsPerBatch=10)
+    df = generators.stream_sensors(spark, seed=3, rows=25, rowsPerSecond=10, start=0)
     query = (df.writeStream.format("memory").queryName("made").option("checkpointLocation", str(tmp_path / "cp"))
              .trigger(processingTime="0 seconds").start())
     try:
