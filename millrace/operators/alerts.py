@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.checkpoints import reliable
 from millrace.functions.spans import floor_time, interval
-from millrace.operators.ordered import latest, ordered, previous
+from millrace.operators.ordered import CHUNK, latest, ordered, previous, small
 
 DAY = timedelta(days=1)
 
@@ -21,8 +24,8 @@ def rising_alerts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
 
     A row without a running timer starts one; a fall cancels it and starts none; the timer fires when event time
     passes it, and the next row starts the next one. A fall and a pause longer than ``hold`` both leave the key
-    without a timer, so the rows between them form independent runs. Runs are spread over tasks, and each is
-    read in order with two values of state.
+    without a timer, so the rows between them form independent runs, which are spread over tasks. A run with
+    more than ``max_rows`` rows is itself cut into chunks.
     """
     rows = ordered(df, keys, order, max_rows).running(
         {"__value": previous(value), "__ts": previous(ts)}, exclusive=True)
@@ -30,39 +33,119 @@ def rising_alerts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     rows = rows.running({"__after_fall": previous("__fall")}, exclusive=True)
     fresh = F.col("__ts").isNull() | F.col("__after_fall") | (F.col(ts) > F.col("__ts") + interval(hold))
     rows = rows.running({"__run": latest(F.when(fresh, F.struct(*[F.col(c) for c in order])))})
-    runs = rows.to_df().select(*keys, "__run", F.col(ts).alias("__at"), "__fall", *[
-        F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
-    placed = runs.repartition(*keys, "__run").sortWithinPartitions(
-        *keys, "__run", *[f"__o{i}" for i in range(len(order))])
-    numbered = placed.select(*keys, F.xxhash64(*keys, "__run").alias("__id"), "__at", "__fall")
-    types = dict(numbered.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys]
-                       + [f"start_ts {types['__at']}", f"fire_ts {types['__at']}"])
-    wait = pd.Timedelta(hold)
-    names = list(keys)
+    runs, places = [f"__r{i}" for i in range(len(order))], [f"__o{i}" for i in range(len(order))]
+    flat = rows.to_df().select(
+        *keys, *[F.col("__run")[c].alias(r) for c, r in zip(order, runs)],
+        *[F.col(c).alias(o) for c, o in zip(order, places)], F.col(ts).alias("__at"), "__fall")
+    group = [*keys, *runs]
+    cut = ordered(flat, group, places, max_rows) if rows.split else None
+    if cut is None or not cut.split:
+        return _short_runs(flat, group, places, hold).select(*keys, "start_ts", "fire_ts")
+    short = _short_runs(cut.df.where(f"{CHUNK} = 0"), group, places, hold)
+    long = _long_runs(cut.df.where(f"{CHUNK} > 0"), group, hold)
+    return short.unionByName(long).select(*keys, "start_ts", "fire_ts")
+
+
+def _short_runs(flat: DataFrame, group: Sequence[str], places: Sequence[str], hold: timedelta) -> DataFrame:
+    """Alerts of runs that fit one task, each read in order."""
+    names, wait = list(group), pd.Timedelta(hold)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, timer, owner = None, None, None
+        here, timer = None, None
         for batch in batches:
             fired = []
-            for row in batch.itertuples(index=False, name=None):
-                here, (run, at, fall) = row[:-3], row[-3:]
-                if (here, run) != group:
-                    if timer is not None:
-                        fired.append((*owner, timer - wait, timer))
-                    group, timer, owner = (here, run), None, here
-                if timer is not None and at > timer:
-                    fired.append((*owner, timer - wait, timer))
+            plain = [batch[n].astype(object).where(batch[n].notna(), None) for n in names]  # nulls compare equal
+            for run, at, fall in zip(zip(*plain), batch["__at"], batch["__fall"]):
+                if timer is not None and (run != here or at > timer):
+                    fired.append((*here, timer - wait, timer))
                     timer = None
+                here = run
                 if fall:
                     timer = None
                 elif timer is None:
                     timer = at + wait
-            yield pd.DataFrame(fired, columns=[*names, "start_ts", "fire_ts"])
+            yield table(fired, batch)
         if timer is not None:
-            yield pd.DataFrame([(*owner, timer - wait, timer)], columns=[*names, "start_ts", "fire_ts"])
+            yield table([(*here, timer - wait, timer)], batch)
 
-    return numbered.mapInPandas(walk, schema)
+    def table(rows: list[tuple], batch: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=[*names, "start_ts", "fire_ts"])
+        return out if rows else out.astype({**batch[names].dtypes, "start_ts": "datetime64[ns]", "fire_ts": "datetime64[ns]"})
+
+    rows = flat.repartition(*group).sortWithinPartitions(*group, *places).select(*group, "__at", "__fall")
+    return rows.mapInPandas(walk, _schema(rows, group, "start_ts", "fire_ts"))
+
+
+def _long_runs(rows: DataFrame, group: Sequence[str], hold: timedelta) -> DataFrame:
+    """Alerts of runs cut into chunks; a run ends at its fall, which cancels a timer still running."""
+    starts = _long_run_starts(rows, group, hold)
+    falls = rows.where("__fall").groupBy(*group).agg(F.min("__at").alias("__fall_at"))
+    fire = F.col("start_ts") + interval(hold)
+    kept = starts.join(*_lookup(falls, group), "left").where(F.col("__fall_at").isNull() | (F.col("__fall_at") > fire))
+    return kept.select(*group, "start_ts", fire.alias("fire_ts"))
+
+
+def _lookup(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``df`` with its keys renamed, and the null-safe condition that joins them."""
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
+    return df.withColumnsRenamed({c: f"__k{i}" for i, c in enumerate(keys)}), reduce(Column.__and__, same)
+
+
+def _long_run_starts(rows: DataFrame, group: Sequence[str], hold: timedelta) -> DataFrame:
+    """Rows that start a timer: the first of a run, then each first row later than the timer before it.
+
+    A chunk maps the timer that runs when it begins to the one that runs when it ends. These maps are
+    chained along the run, and every chunk then finds its own starts.
+    """
+    rows = rows.where("not __fall").select(*group, CHUNK, "__at")
+    wait = np.timedelta64(hold)
+    chunk = [*group, CHUNK]
+
+    def times(pdf: pd.DataFrame) -> np.ndarray:
+        return np.sort(pdf["__at"].to_numpy().astype("datetime64[us]"))
+
+    def repeated(pdf: pd.DataFrame, columns: Sequence[str], n: int) -> pd.DataFrame:
+        return pdf[list(columns)].iloc[np.zeros(n, int)].reset_index(drop=True)
+
+    def transitions(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = times(pdf)
+        following = np.searchsorted(at, at + wait, "right")
+        ends = at + wait
+        for i in range(len(at) - 1, -1, -1):
+            if following[i] < len(at):
+                ends[i] = ends[following[i]]
+        reach = min(following[0] + 1, len(at))  # the timer at entry is at most ``hold`` past the first row
+        last = np.append(ends[:reach - 1] != ends[1:reach], True)
+        return repeated(pdf, chunk, int(last.sum())).assign(before=at[:reach][last], then=ends[:reach][last])
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        timer, found = None, []
+        for number, steps in pdf.sort_values([CHUNK, "before"]).groupby(CHUNK):
+            found.append((*[pdf[name].iloc[0] for name in group], number, timer))
+            later = steps if timer is None else steps[steps["before"] > timer]
+            if len(later):
+                timer = later["then"].iloc[0]
+        out = pd.DataFrame(found, columns=[*chunk, "timer"])
+        return out.assign(timer=pd.to_datetime(out["timer"]))
+
+    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        at, timer, found = times(pdf), pdf["timer"].iloc[0], []
+        i = 0 if pd.isna(timer) else int(np.searchsorted(at, np.datetime64(timer), "right"))
+        while i < len(at):
+            found.append(at[i])
+            i = int(np.searchsorted(at, at[i] + wait, "right"))
+        return repeated(pdf, group, len(found)).assign(start_ts=np.array(found, "datetime64[us]"))
+
+    steps = rows.groupBy(*chunk).applyInPandas(transitions, _schema(rows, chunk, "before", "then"))
+    timers = reliable(steps.groupBy(*group).applyInPandas(chain, _schema(rows, chunk, "timer")))
+    timers, same = _lookup(timers, chunk)
+    timed = rows.join(small(timers), same).select(*rows.columns, "timer")
+    return timed.groupBy(*chunk).applyInPandas(starts, _schema(rows, group, "start_ts"))
+
+
+def _schema(df: DataFrame, columns: Sequence[str], *times: str) -> str:
+    types = dict(df.dtypes)
+    return ", ".join([*[f"`{c}` {types[c]}" for c in columns], *[f"{t} {types['__at']}" for t in times]])
 
 
 def switched(df: DataFrame, arrival: Sequence[str], is_control: Column, setting: Column,

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.spans import floor_time, interval
@@ -76,12 +75,8 @@ def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     Spark plans NOT IN as a broadcast of the list; this form also holds for a list of any size.
     A null in the list leaves no row; a null in ``column`` passes only an empty list.
     """
-    wanted = values.select(F.col(values.columns[0]).alias("__v")).distinct()
-    nulls = wanted.where(F.col("__v").isNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
-    size = wanted.agg(F.count(F.lit(1)).alias("n")).scalar()
-    kept = df.join(wanted, F.col(column) == F.col("__v"), "left_anti")
+    listed = values.select(F.col(values.columns[0]).alias("__v"))
+    nulls = listed.where(F.col("__v").isNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
+    size = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    kept = df.join(listed.distinct(), F.col(column) == F.col("__v"), "left_anti")
     return kept.where((nulls == 0) & (F.col(column).isNotNull() | (size == 0)))
-
-
-def equal(left: Sequence[str], right: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [F.col(a) == F.col(b) for a, b in zip(left, right, strict=True)])

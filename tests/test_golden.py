@@ -166,6 +166,21 @@ def test_rising(spark, bound):
     assert rows(got, since("start_ts"), since("fire_ts")) == [(0, 2), (3, 5), (7, 9)]
 
 
+def test_rising_in_one_long_run(spark):
+    """A level that never falls: the timers are chained through all chunks."""
+    steps = [0, 1, 1, 4, 5, 5, 6, 9, 11, 12, 12, 12, 15, 17, 20, 21, 23, 24, 24, 27, 30, 31, 33, 35]
+    df = spark.createDataFrame([(i, "a", s, 5) for i, s in enumerate(steps)], "seq int, id string, s int, v int").withColumn(
+        "et", AT(0) + F.expr("make_dt_interval(0,0,0,s)"))
+    want, timer = [], -1
+    for s in steps:
+        if s > timer:
+            want.append((s, s + 3))
+            timer = s + 3
+    for bound in (100, 4):
+        got = alerts.rising_alerts(df, ["id"], ["et", "seq"], "et", "v", 3 * SECOND, bound)
+        assert rows(got, since("start_ts"), since("fire_ts")) == sorted(want, key=repr)
+
+
 def test_lateness(spark):
     df = spark.createDataFrame([(1, 1), (2, 4), (3, 5), (4, 2), (5, 7), (6, 3), (7, 9), (8, 4)], "seq int, s int").withColumn(
         "et", AT(0) + F.expr("make_dt_interval(0,0,0,s)"))
