@@ -20,10 +20,10 @@ def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: timedelta, bo
              max_rows: int | None = None) -> DataFrame:
     """Add ``watermark``, the row's window bounds and ``status``.
 
-    ``watermark`` is what the earlier arrivals have set: their latest event time less ``bound``
-    and ``tick`` (punctuated and periodic generators use a zero tick). ``status`` is ``on_time``,
-    ``refire`` (the window has fired but is still open for ``allowed``) or ``late``. With ``slide``, the bounds are those of the row's last window, so a row is late when all of
-    its windows are closed.
+    ``watermark`` is what the earlier arrivals have set: their latest event time less ``bound`` and
+    ``tick`` (punctuated and periodic generators use a zero tick). ``status`` is ``on_time``,
+    ``refire`` (the window has fired but is still open for ``allowed``) or ``late``. With ``slide``,
+    the bounds are those of the row's last window: a row is late when all of its windows are closed.
     """
     seen = ordered(df, [], arrival, max_rows).running({"__seen": highest(ts)}, exclusive=True).to_df()
     start = F.window(ts, text(slide or size))["start"]

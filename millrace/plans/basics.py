@@ -4,15 +4,14 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from millrace.functions.spans import interval
 from millrace.operators import changelog, transforms
-from millrace.operators.ordered import count, first, highest, latest, lowest, ordered, previous, total
+from millrace.operators.alerts import rising_alerts, switched
+from millrace.operators.ordered import count, first, highest, lowest, ordered, previous, total
 from millrace.operators.topn import top_n
 from millrace.operators.udaf import aggregate_with
 from millrace.plans.registry import READINGS, of_type, query, readings, table
 from millrace.sources.lines import parse_access_log, parse_csv
 
-HOUR = timedelta(hours=1)
 WORDS = """words as (select doc_id, lang, unnest(string_split(rtrim(text, ' '), ' ')) as word from documents
   where rtrim(text, ' ') <> '' or text = '')"""
 
@@ -243,8 +242,6 @@ def sql_window_bounds(spark, folder):
     over (order by event_id rows unbounded preceding) as s_now from events)
 select event_id as seq, case when s_now = 1 then 'on' else 'off' end as switch from c where event_type <> 'signup'""")
 def switch_state(spark, folder):
-    from millrace.operators.alerts import switched
-
     rows = table(spark, folder, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type")
     out = switched(rows, ["seq"], F.col("event_type") == "signup", (F.col("user_id") % 2).cast("string"))
     return out.select("seq", "switch")
@@ -269,6 +266,4 @@ select distinct c.id, c.ts as start_ts, c.ts + interval '6 hours' as fire_ts fro
 left join ends e on e.id = c.id and e.run = c.run
 where e.fall_ts is null or e.fall_ts > c.ts + interval '6 hours'""")
 def rising_alert(spark, folder):
-    from millrace.operators.alerts import rising_alerts
-
     return rising_alerts(readings(spark, folder), ["id"], ["ts", "seq"], "ts", "vc", timedelta(hours=6))
