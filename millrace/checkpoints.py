@@ -1,27 +1,34 @@
 """Reliable cuts of the lineage, in the folder shared by all executors."""
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only when none is named."""
+    """The cluster's ``spark.checkpoint.dir``. Where none is named, a folder beside the warehouse, on a local master only."""
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or tempfile.mkdtemp(prefix="millrace-")
+    if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "checkpoints")
     spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder path for one run's output or streaming checkpoint."""
+    """A fresh sub-folder path for one run's output or streaming checkpoint; whoever asks for it calls `remove_folder` after the last read."""
     return os.path.join(shared_folder(spark), f"{name}-{os.urandom(6).hex()}")
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
