@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact
+from millrace.llm import exact, packing
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -33,3 +33,8 @@ def op9_exact_dedup(spark, sf_dir):
     work = Workspace(spark, "exact")
     rows = exact.decide(table(spark, sf_dir, "documents"), exact.fresh_index(spark, work), work)
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query()
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.best_fit(table(spark, sf_dir, "documents"), Workspace(spark, "packing"))
