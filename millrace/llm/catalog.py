@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, packing
+from millrace.llm import exact, packing, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -38,3 +38,8 @@ def op9_exact_dedup(spark, sf_dir):
 @query()
 def op5_best_fit_packing(spark, sf_dir):
     return packing.best_fit(table(spark, sf_dir, "documents"), Workspace(spark, "packing"))
+
+
+@query()
+def op4_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark, "toxicity"))
