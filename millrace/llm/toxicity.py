@@ -17,29 +17,40 @@ from millrace.llm.workspace import Workspace
 #: Bound of the training sample: so many labelled rows of each class, chosen by a hash of the id.
 SAMPLE_PER_CLASS = 2000
 WIDTHS, FILTERS, SIZE, TABLE_BITS = (1, 2, 3), 8, 12, 16
+TABLES, STEM = 3, 5
 CUT = 0.3
 #: A language gets a threshold of its own when its calibration rows hold so many toxic ones; any other language uses CUT.
 LEAST_TOXIC = 20
 PLAIN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\"'()[]{}<>*_-", bytes(range(97, 123)) + b" " * 19)
-MASK = np.uint32((1 << TABLE_BITS) - 1)
+MASK = np.uint64((1 << TABLE_BITS) - 1)
 
 
 def tokens(text: bytes) -> np.ndarray:
-    """A 32-bit hash for each word of the whole text, lower-cased, without ASCII punctuation; one token for an empty text."""
+    """A hash for each word of the whole text, lower-cased, without ASCII punctuation, and 16 bits for its first STEM bytes above it.
+
+    An empty text has one token.
+    """
     words = text.translate(PLAIN).split() or [b""]
-    return np.fromiter(map(crc32, words), np.uint32, len(words))
+    whole = np.fromiter(map(crc32, words), np.uint64, len(words))
+    stems = np.fromiter([crc32(w[:STEM]) for w in words], np.uint64, len(words))
+    return whole | (stems << np.uint64(32))
+
+
+def table_rows(flat: np.ndarray) -> list[np.ndarray]:
+    """The row of each token in each of the embedding tables."""
+    return [((flat >> np.uint64(k * TABLE_BITS)) & MASK).astype(np.int64) for k in range(TABLES)]
 
 
 class TextCNN:
     """Hashed word embeddings, filters of several widths, maximum over the positions, one logistic unit.
 
-    A word's embedding is the sum of a row in each of two tables, found by two halves of its hash: words that share a row in one table
-    rarely share the other. Rows that no training word touched are zero, so unknown words add nothing.
+    A word's embedding is the sum of a row in each of three tables, found by two halves of its hash and by its first bytes: words that share
+    a row in one table rarely share the others. Rows that no training word touched are zero, so unknown words add nothing.
     """
 
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.tables = rng.normal(0, 0.05, (2, 1 << TABLE_BITS, SIZE)).astype(np.float32)
+        self.tables = rng.normal(0, 0.05, (TABLES, 1 << TABLE_BITS, SIZE)).astype(np.float32)
         self.filters = [rng.normal(0, 0.4, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS]
         self.bias = np.full((len(WIDTHS), FILTERS), 0.05, np.float32)
         self.out = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
@@ -64,11 +75,11 @@ class TextCNN:
 
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
         """Probabilities of label 1. Documents stand one after the other with blanks between, so no filter sees two of them."""
-        gap, longest = np.zeros(len(WIDTHS) - 1, np.uint32), max(WIDTHS)
-        flat = np.concatenate([x for d in docs for x in (d, gap)] + [np.zeros(longest, np.uint32)])
+        gap, longest = np.zeros(len(WIDTHS) - 1, np.uint64), max(WIDTHS)
+        flat = np.concatenate([x for d in docs for x in (d, gap)] + [np.zeros(longest, np.uint64)])
         blank = np.concatenate([x for d in docs for x in (np.zeros(len(d), bool), np.ones(len(gap), bool))] + [np.ones(longest, bool)])
         starts = np.cumsum([0] + [len(d) + len(gap) for d in docs])[:-1]
-        rows = [(flat & MASK).astype(np.int64), (flat >> np.uint32(TABLE_BITS)).astype(np.int64)]
+        rows = table_rows(flat)
         n, pooled = len(flat) - longest, []
         for effects, bias in zip(self.effects, self.bias):
             total = np.zeros((n, FILTERS), np.float32)
@@ -95,10 +106,9 @@ class TextCNN:
             order = rng.permutation(len(docs))
             for at in range(0, len(order), batch):
                 self._step([docs[i] for i in order[at:at + batch]], labels[order[at:at + batch]], step)
-        touched = [np.zeros(1 << TABLE_BITS, bool) for _ in range(2)]
-        for d in docs:
-            touched[0][d & MASK] = touched[1][d >> np.uint32(TABLE_BITS)] = True
-        for table, seen in zip(self.tables, touched):
+        for table, row in zip(self.tables, table_rows(np.concatenate(docs))):
+            seen = np.zeros(1 << TABLE_BITS, bool)
+            seen[row] = True
             table[~seen] = 0
         got = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
         share = np.clip(share, 1e-3, 1 - 1e-3)
@@ -107,12 +117,12 @@ class TextCNN:
 
     def _step(self, docs, labels, step):
         longest = max(WIDTHS)
-        gap = np.zeros(longest - 1, np.uint32)
+        gap = np.zeros(longest - 1, np.uint64)
         flat = np.concatenate([x for d in docs for x in (d, gap)] + [gap])
         real = np.concatenate([x for d in docs for x in (np.ones(len(d), bool), np.zeros(len(gap), bool))] + [np.zeros(len(gap), bool)])
         starts = np.cumsum([0] + [len(d) + len(gap) for d in docs])[:-1]
-        rows = [(flat & MASK).astype(np.int64), (flat >> np.uint32(TABLE_BITS)).astype(np.int64)]
-        vectors = (self.tables[0][rows[0]] + self.tables[1][rows[1]]) * real[:, None]
+        rows = table_rows(flat)
+        vectors = sum(t[r] for t, r in zip(self.tables, rows)) * real[:, None]
         n, best, feats = len(flat) - longest + 1, [], []
         for f, bias in zip(self.filters, self.bias):
             total = sum(vectors[k:k + n] @ f[k] for k in range(len(f)))
@@ -130,20 +140,20 @@ class TextCNN:
         off = ((p - labels) / len(docs)).astype(np.float32)
         back = off[:, None] * self.out * (pooled > 0)
         everything, last = slice(None), len(self.filters)
-        table_rows, table_grads = [], []
+        touched, changes = [], []
         for w, (f, where) in enumerate(zip(self.filters, best)):
             g = back[:, w * FILTERS:(w + 1) * FILTERS]
             grad = np.empty_like(f)
             for k in range(len(f)):
                 at = where + k
                 grad[k] = np.einsum("df,dfs->sf", g, vectors[at])
-                table_rows.append(at.ravel())
-                table_grads.append((g[:, :, None] * f[k].T[None]).reshape(-1, SIZE))
+                touched.append(at.ravel())
+                changes.append((g[:, :, None] * f[k].T[None]).reshape(-1, SIZE))
             f -= step(1 + w, everything, grad + 1e-5 * f)
             self.bias[w] -= step(1 + last, w, g.sum(0))
         self.out -= step(2 + last, everything, pooled.T @ off + 1e-5 * self.out)
         self.out_bias -= step(3 + last, 0, off.sum())
-        at, grads = np.concatenate(table_rows), np.concatenate(table_grads)
+        at, grads = np.concatenate(touched), np.concatenate(changes)
         grads = grads * real[at][:, None]
         for t, row in enumerate(rows):
             hit, index = np.unique(row[at], return_inverse=True)
