@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, packing, toxicity
+from millrace.llm import exact, neardup, packing, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -43,3 +43,23 @@ def op5_best_fit_packing(spark, sf_dir):
 @query()
 def op4_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark, "toxicity"))
+
+
+@query("""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    shingled AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+    sizes AS (SELECT doc_id, len(s) AS n FROM shingled),
+    items AS (SELECT doc_id, unnest(s) AS x FROM shingled),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+    lowest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN lowest USING (doc_id)
+""")
+def op8_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "neardup"))
