@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, neardup, packing, toxicity
+import corpus_pipeline
+from millrace.llm import exact, latent, neardup, packing, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -63,3 +64,13 @@ def op4_toxicity(spark, sf_dir):
 """)
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "neardup"))
+
+
+@query()
+def op2_benchmark_decontamination(spark, sf_dir):
+    return latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "latent"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

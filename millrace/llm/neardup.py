@@ -40,7 +40,7 @@ def sketch(items: np.ndarray, size: int) -> np.ndarray:
     got = np.full(size, np.iinfo(np.uint64).max)
     empty = np.ones(size, bool)
     for i in range(2 * size):
-        h = mixed(items + np.uint64(0x9E3779B97F4A7C15) * np.uint64(i + 1))
+        h = mixed(items + np.uint64((0x9E3779B97F4A7C15 * (i + 1)) % (1 << 64)))
         if i < size:
             bins = ((h >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
             value = mixed(h) >> np.uint64(8)
