@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import exact, latent, neardup, packing, toxicity
+from millrace.llm import exact, latent, neardup, packing, secrets, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -74,3 +74,8 @@ def op2_benchmark_decontamination(spark, sf_dir):
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query()
+def op6_secret_scan(spark, sf_dir):
+    return secrets.secrets(table(spark, sf_dir, "documents"), Workspace(spark, "secrets"))
