@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import exact, latent, neardup, packing, secrets, toxicity
+from millrace.llm import crf, exact, latent, neardup, packing, secrets, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -79,3 +79,8 @@ if corpus_pipeline.ORACLE_SQL:
 @query()
 def op6_secret_scan(spark, sf_dir):
     return secrets.secrets(table(spark, sf_dir, "documents"), Workspace(spark, "secrets"))
+
+
+@query()
+def op10_html_extraction(spark, sf_dir):
+    return crf.extract(table(spark, sf_dir, "pages"), Workspace(spark, "crf"))
