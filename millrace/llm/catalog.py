@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import crf, exact, latent, neardup, packing, secrets, toxicity
+from millrace.llm import crf, exact, latent, neardup, packing, repeats, secrets, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -84,3 +84,20 @@ def op6_secret_scan(spark, sf_dir):
 @query()
 def op10_html_extraction(spark, sf_dir):
     return crf.extract(table(spark, sf_dir, "pages"), Workspace(spark, "crf"))
+
+
+@query("""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    placed AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS pos, words FROM w WHERE len(words) >= 20),
+    windows AS (SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 19], ' ')) AS h FROM placed),
+    later AS (SELECT doc_id, pos FROM windows QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, pos) > 1),
+    gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, range(20) AS r(k)),
+    each AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+    SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(body, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+""")
+def op1_substring_dedup(spark, sf_dir):
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "repeats"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -23,10 +23,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+BASE = 0x9E3779B97F4A7C17  # 3 modulo 4, so that swapped words don't cancel
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of ``n`` words, from the words' hashes."""
-    size = max(0, len(h) - n + 1)
-    total = np.zeros(size, np.uint64)
-    for i in range(n):
-        total = mixed(total + h[i:i + size]) + np.uint64(i + 1)
-    return mixed(total)
+    """Hashes of all runs of ``n`` words, from the words' hashes: a polynomial modulo 2^64, by differences of one running sum."""
+    size = len(h) - n + 1
+    if size <= 0:
+        return np.empty(0, np.uint64)
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * powers(BASE, len(h)), out=sums[1:])
+    return mixed((sums[n:] - sums[:-n]) * powers(INVERSE, size) + np.uint64(n))
