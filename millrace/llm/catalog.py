@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import crf, exact, latent, neardup, packing, repeats, secrets, toxicity
+from millrace.llm import crf, exact, hmm, latent, neardup, packing, repeats, secrets, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -101,3 +101,8 @@ def op10_html_extraction(spark, sf_dir):
 def op1_substring_dedup(spark, sf_dir):
     rows = repeats.without_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "repeats"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_lm_scoring(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"), Workspace(spark, "hmm"))
