@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import crf, exact, hmm, latent, neardup, packing, repeats, secrets, toxicity
+from millrace.llm import crf, exact, hmm, latent, neardup, packing, repeats, secrets, surrogates, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -106,3 +106,8 @@ def op1_substring_dedup(spark, sf_dir):
 @query()
 def op3_lm_scoring(spark, sf_dir):
     return hmm.score(table(spark, sf_dir, "documents"), Workspace(spark, "hmm"))
+
+
+@query()
+def op7_pii_surrogates(spark, sf_dir):
+    return surrogates.pseudonymised(table(spark, sf_dir, "documents"), Workspace(spark, "surrogates"))
