@@ -17,10 +17,10 @@ SHINGLE = 5
 PERCENT = 85
 #: 24 bands of 5 coordinates: two sets with a Jaccard similarity of 0.85 share no band once in a million times.
 BANDS, ROWS = 24, 5
-#: A pair whose sketches agree in fewer coordinates than this has a similarity below 0.85 but for one case in ten million.
-LEAST_AGREEING = 80
-#: Centres that a bucket tests in the first round, and the factor from round to round.
-FIRST_CENTRES, MORE_CENTRES = 1, 8
+#: Of pairs with a similarity of 0.85, a few in a million agree in fewer coordinates than this.
+LEAST_AGREEING = 84
+#: Members up to which a bucket's pairs are listed, and members of one block of a hot group.
+LISTED, BLOCK = 64, 256
 
 
 def shingles(text: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -82,7 +82,7 @@ def signed(docs: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, same binary, bands array<bigint>, marks binary")
 
 
-def alike(pairs: DataFrame, sides: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, sides: DataFrame, percent: int, least: int) -> DataFrame:
     """Pairs (a, b) of ids whose sketches and set sizes allow a link."""
     one = lambda k: sides.select(F.col("id").alias(k), F.col("n_shingles").alias("n" + k), F.col("marks").alias("m" + k))
     both = pairs.join(one("a"), "a").join(one("b"), "b").filter(
@@ -92,7 +92,7 @@ def alike(pairs: DataFrame, sides: DataFrame, bands: int, rows: int, percent: in
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in ("ma", "mb"))
-                keep = (a == b).sum(1) >= LEAST_AGREEING * bands * rows // (BANDS * ROWS)
+                keep = (a == b).sum(1) >= least
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
     return both.select("a", "b", "ma", "mb").mapInArrow(run, "a bigint, b bigint")
 
@@ -102,30 +102,96 @@ def linked(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int) -> Dat
     one = lambda k: docs.select(F.col("doc_id").alias(k), F.col("text").alias("t" + k))
 
     def run(batches):
+        known, held = {}, 0
         for batch in batches:
-            known, keep = {}, []
+            keep = []
             for x, y, s, t in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), texts(batch, "ta"), texts(batch, "tb")):
                 for key, text in ((x, s), (y, t)):
                     if key not in known:
+                        if held > 2_000_000:
+                            known, held = {}, 0
                         known[key] = shingles(text, shingle)
-                common = len(np.intersect1d(known[x], known[y], assume_unique=True))
-                keep.append(100 * common >= percent * (len(known[x]) + len(known[y]) - common))
-                if len(known) > 256:
-                    known.clear()
+                        held += len(known[key])
+                keep.append(similar(known[x] if x in known else shingles(s, shingle), known[y], percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.searchsorted(b, a)
+    common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def links_of_blocks(left: list, right: list, marks: dict, body: dict, percent: int, least: int, shingle: int):
+    """Links between two blocks of a hot group (or within one), enough to join what is joined at all: a pair whose members hang
+    together already is skipped. Sketches choose the pairs, the most alike first; full sets decide."""
+    sets, root = {}, {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    def items(x):
+        if x not in sets:
+            sets[x] = shingles(body[x], shingle)
+        return sets[x]
+
+    across = np.array([marks[x] for x in right])
+    pairs = []
+    for i, x in enumerate(left):
+        agree = (across == marks[x]).sum(1)
+        pairs += [(-int(agree[j]), x, right[j]) for j in np.flatnonzero(agree >= least) if right[j] != x]
+    pairs.sort()
+    for _, x, y in pairs:
+        p, q = find(x), find(y)
+        if p != q and similar(items(x), items(y), percent):
+            root[max(p, q)] = min(p, q)
+            yield min(x, y), max(x, y)
+
+
+def links_of_hot_groups(members: DataFrame, sides: DataFrame, bodies: DataFrame, work: Workspace, percent: int, least: int, shingle: int) -> DataFrame:
+    """Links among ids that meet in buckets with more than LISTED members. ``members``: band, key, id of those buckets.
+
+    Such buckets overlap, so what hangs together through them is one hot group. It is dealt by hash into blocks, and each pair of blocks
+    is one bounded task: texts travel once for each block of the group, and only links that join something come back.
+    """
+    centre = members.groupBy("band", "key").agg(F.min("id").alias("b"))
+    group = components(members.join(work.cut(centre, "centres"), ["band", "key"]).select(F.col("id").alias("a"), "b"), work)
+    group = work.cut(group.union(group.select(F.col("label").alias("id"), "label").distinct()), "groups")
+    sizes = work.cut(group.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "sizes")
+    dealt = group.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
+    whole = dealt.join(sides, "id").join(bodies.select(F.col("doc_id").alias("id"), "text"), "id")
+    spread = whole.select("id", "label", "own", "marks", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    keyed = spread.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other")
+
+    def run(key, table):
+        low, high = key[1].as_py(), key[2].as_py()
+        ids, own = table.column("id").to_pylist(), table.column("own").to_pylist()
+        marks = dict(zip(ids, (np.frombuffer(m, np.uint8) for m in table.column("marks").to_pylist())))
+        body = dict(zip(ids, texts(table.combine_chunks())))
+        left, right = (sorted(i for i, o in zip(ids, own) if o == side) for side in (low, high))
+        found = list(zip(*links_of_blocks(left, right, marks, body, percent, least, shingle))) or [[], []]
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return keyed.groupBy("label", "low", "high").applyInArrow(run, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an id count as one document, whose largest text
     is taken; a null id is linked with nothing and kept, with null component_id. An empty table gives no rows; other columns are not read.
 
-    Texts with equal sets form a class and its smallest id stands for it. Representatives meet in buckets (band and its key). No bucket
-    compares all its pairs: in each round some members of a bucket, one by hash slot, are its centres and meet the members of other
-    components; then they leave the bucket. A bucket whose members are all in one component is done. The number of slots grows
-    eightfold, so a bucket of any size ends after few rounds with no link lost, and a group of copies ends after the first ones.
+    Texts with equal sets form a class and its smallest id stands for it. Representatives meet in buckets (band and its key). A small
+    bucket lists its pairs; larger ones go the way of `links_of_hot_groups`. Either way no link between two classes' components is lost
+    but for the chance that sketches miss it (see BANDS and LEAST_AGREEING), and full sets confirm every link.
     """
     plain = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
     known = plain.filter("doc_id is not null")
@@ -135,39 +201,29 @@ def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, sh
     heads = filled.join(classes, (filled.same == classes.same) & (filled.doc_id == classes.id), "left_semi").dropDuplicates(["doc_id"])
     heads = work.cut(heads.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "marks"), "heads")
     spread = heads.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = spread.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
-    members = work.cut(spread.join(shared, ["band", "key"]), "members")
+    shared = spread.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = work.cut(spread.join(work.cut(shared, "shared"), ["band", "key"]), "members")
     sides = work.cut(heads.select("id", "n_shingles", "marks").join(members.select("id").distinct(), "id", "left_semi"), "sides")
     bodies = work.cut(known.join(sides.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi"), "bodies")
-    links, labels, slots = None, None, FIRST_CENTRES
-    while True:
-        now = members.withColumn("component", F.col("id")) if labels is None else (
-            members.join(labels, "id", "left").withColumn("component", F.coalesce("label", "id")).drop("label"))
-        open_ = now.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        open_ = open_.select("band", "key")
-        now = work.cut(now.join(open_, ["band", "key"]), "open")
-        if now.isEmpty():
-            break
-        # small components of a bucket first: they are what keeps it open
-        weight = now.groupBy("band", "key", "component").agg(F.count("*").alias("weight"))
-        ranked = now.join(weight, ["band", "key", "component"]).withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(slots)))
-        centres = work.cut(ranked.groupBy("band", "key", "slot").agg(F.min(F.struct("weight", "id", "component")).alias("c"))
-                           .select("band", "key", F.col("c.id").alias("centre"), F.col("c.component").alias("other")), "centres")
-        met = (now.join(centres, ["band", "key"]).filter("component <> other")
-               .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-        found = work.cut(linked(work.cut(alike(met, sides, bands, rows, percent), "pairs"), bodies, percent, shingle), "links")
-        links = found if links is None else work.cut(links.union(found), "links")
-        labels = components(links, work)
-        members = work.cut(now.select("band", "key", "id").join(
-            centres.select("band", "key", F.col("centre").alias("id")), ["band", "key", "id"], "left_anti"), "members")
-        slots *= MORE_CENTRES
-    top = classes if labels is None else classes.join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("id"))
-    top = work.cut(top, "top")
+    bodies = bodies.dropDuplicates(["doc_id"]) if repeated_ids(bodies) else bodies
+    least = LEAST_AGREEING * bands * rows // (BANDS * ROWS)
+    small, large = members.filter(F.col("n") <= LISTED), work.cut(members.filter(F.col("n") > LISTED).drop("n"), "large")
+    met = (small.select("band", "key", F.col("id").alias("a")).join(small.select("band", "key", F.col("id").alias("b")), ["band", "key"])
+           .filter("a < b").select("a", "b").distinct())
+    links = linked(work.cut(alike(met, sides, percent, least), "pairs"), bodies, percent, shingle)
+    if not large.isEmpty():
+        links = links.union(links_of_hot_groups(large, sides, bodies, work, percent, least, shingle))
+    labels = components(links, work)
+    top = work.cut(classes.join(labels, "id", "left").select("same", F.coalesce("label", "id").alias("id")), "top")
     chosen = sets.select("doc_id", "n_shingles", "same").join(top, "same", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
     return chosen.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def repeated_ids(docs: DataFrame) -> bool:
+    return not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
 def one_of_each(docs: DataFrame, work: Workspace, **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their component."""
     kept = work.cut(near_duplicates(docs, work, **options).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
