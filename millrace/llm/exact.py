@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +67,7 @@ def decide(docs: DataFrame, index: DigestIndex, work: Workspace, text: str = "te
 
 
 def fresh_index(spark: SparkSession, work: Workspace) -> DigestIndex:
-    return DigestIndex(spark, f"digest_index_{work.folder.rsplit('-', 1)[-1]}", work.path("index"))
+    return DigestIndex(spark, f"digest_index_{os.urandom(6).hex()}", work.path("index"))
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex, work: Workspace, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

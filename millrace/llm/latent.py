@@ -303,7 +303,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, block:
         def run(batches, shared=shared):
             known = Items(*shared.value)
             for batch in batches:
-                rows = [(d, i, *m) for d, found in zip(batch.column("doc_id").to_pylist(), found_in(texts(batch), known)) for i, m in sorted(found.items())]
+                rows = [(d, i, *m) for d, found in zip(batch.column("doc_id").to_pylist(), found_in(texts(batch), known)) for i, m in sorted(found.items(), key=lambda x: (x[0] is None, x[0] or 0))]
                 cols = list(zip(*rows)) or [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "lcs", "answer", "cosine", "first_word"])

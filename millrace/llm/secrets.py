@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -17,7 +18,7 @@ KINDS = ("assign", "access", "hex", "owned")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of 24 and more among all runs
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 LEAST_VALUE, LEAST_ACCESS, LEAST_RUN = 6, 20, 24
 #: A value held by more owners than this is a copied example.
 MOST_OWNERS = 2
@@ -60,8 +61,10 @@ def scan(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, int, by
             base.append((m.start(), "hex", m.end()))
             values[m.span()] = m[0]
     if b"0" * LEAST_RUN in raw.translate(LONG_RUNS):
+        taken = sorted(values)
         for m in RUN.finditer(text):
-            values.setdefault(m.span(), m[0])
+            if not any(a < m.end() and m.start() < b for a, b in taken[:bisect_left(taken, (m.end(),))][-2:]):
+                values[m.span()] = m[0]
     base.sort(key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
     found = [(*at, hashlib.blake2b(v.encode(), digest_size=16).digest()) for at, v in sorted(values.items()) if live_looking(v)]
     return base, found

@@ -17,7 +17,7 @@ PATTERNS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<![\d-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?!-?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\d)",
+    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?\d{1,4}(?:[ .-]\d{2}){3,4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{3,4}){2}|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\d)",
     "name": rf"(?<!\p{{L}})(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'’-]++(?: \p{{Lu}}[\p{{L}}'’-]++)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
