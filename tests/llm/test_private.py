@@ -57,7 +57,7 @@ def replaced(spark, work, *texts):
 def test_surrogates(spark, work):
     a, b, c, d, e, f, g, h = replaced(
         spark, work, "Write Jo.Doe7@mail.org or JO.DOE7@MAIL.ORG, call +1 (578) 555-6437.", "jo.doe7@mail.org +1 578 555 6437 192.168.7.9 8.8.8.8",
-        "Mrs. Jane Smith met Mr. John Smith and Herr Müller; Mrs Jane Smith left.", "Госпожа Анна Петрова и Господин Петров",
+        "Mrs. Jane Smith met Mr. John Smith and Herr Müller; Mrs Jane Smith left.", "Госпожа Анна Петрова и Госпожа Петрова",
         "card 4111 1111 1111 1111 or 4111-1111-1111-1111", "DE89 3704 0044 0532 0130 00, 078-05-1120", "nothing here", "jo.doe8@mail.org")
     mail = re.search(r"\w\w\.\w{3}\d@\S+\.example\.org", a)[0]
     assert mail.upper() in a and mail in b and not re.search(r"(?i)jo\.doe|6437|192\.168\.7\.9|8\.8\.8\.8", a + b)
@@ -67,7 +67,7 @@ def test_surrogates(spark, work):
     man = re.search(r"Mr\. (\w+) (\w+)", c)
     assert women[0] == women[1] and women[0][0].endswith("na") and not man[1].endswith("na") and man[2] == women[0][1]
     assert not re.search("Jane|John|Smith|Müller", c) and re.search(r"Herr [A-Z][a-z]+;", c)
-    assert re.fullmatch(r"Госпожа [А-Яа-я]+на ([А-Яа-я]+) и Господин \1", d)
+    assert re.fullmatch(r"Госпожа [А-Яа-я]+на ([А-Яа-я]+) и Госпожа \1", d)
     cards = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", e)
     digits = [re.sub(r"\D", "", x) for x in cards]
     assert digits[0] == digits[1] != "4" + "1" * 15 and cards[0][4] == " " and cards[1][4] == "-"
