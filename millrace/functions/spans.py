@@ -1,5 +1,6 @@
 """Durations and small column helpers."""
 
+import re
 from datetime import timedelta
 from math import gcd
 
@@ -28,5 +29,19 @@ def common(a: timedelta, b: timedelta) -> timedelta:
 
 
 def floor_time(ts, span: timedelta) -> Column:
-    """Start of the epoch-aligned bucket that holds ``ts`` (keeps the timestamp type)."""
-    return F.window(ts, text(span))["start"]
+    """Start of the epoch-aligned bucket that holds ``ts`` (keeps the timestamp type; null for null, and no row is lost)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    past = F.pmod(epoch_micros(ts), F.lit(micros(span)))
+    return ts - F.expr("INTERVAL '0.000001' SECOND") * past
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970; those of the wall clock for a timestamp without zone."""
+    instant = ts.cast("timestamp")
+    local = F.from_utc_timestamp(instant, F.current_timezone())
+    return F.unix_micros(F.when(F.typeof(ts) == "timestamp_ntz", local).otherwise(instant))
+
+
+def literal(separator: str) -> str:
+    """A pattern that matches just this text; plain where it has no special characters, which splits faster."""
+    return separator if re.fullmatch(r"[\w ,;:]*", separator) else re.sub(r"(\W)", r"\\\1", separator)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.spans import floor_time, interval
-from millrace.operators.ordered import hot_keys
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, size: timedelta) -> DataFrame:
@@ -24,24 +23,17 @@ def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str,
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                  lower: timedelta, upper: timedelta, max_rows: int | None = None) -> DataFrame:
+                  lower: timedelta, upper: timedelta) -> DataFrame:
     """Pairs with equal keys and ``left_ts + lower <= right_ts <= left_ts + upper``.
 
-    When a key of either side holds more than ``max_rows`` rows, time buckets join the key, so that the
-    key spreads over tasks and only neighbouring buckets are compared.
+    Time buckets as wide as the range join the key, so that a key spreads over tasks and only neighbouring buckets are compared.
     """
     in_range = F.col(right_ts).between(F.col(left_ts) + interval(lower), F.col(left_ts) + interval(upper))
-    joined_keys = list(keys)
-    if hot_keys(left, keys, max_rows) is not None or hot_keys(right, keys, max_rows) is not None:
-        width = max(upper - lower, timedelta(microseconds=1))
-        low, high = (floor_time("__t", width) for _ in range(2))
-        left = (left.withColumn("__t", F.col(left_ts) + interval(lower)).withColumn("__b1", low)
-                .withColumn("__t", F.col(left_ts) + interval(upper)).withColumn("__b2", high)
-                .withColumn("__bucket", F.explode(F.array_distinct(F.array("__b1", "__b2"))))
-                .drop("__t", "__b1", "__b2"))
-        right = right.withColumn("__bucket", floor_time(right_ts, width))
-        joined_keys.append("__bucket")
-    return left.join(right, joined_keys).where(in_range).drop("__bucket")
+    width = max(upper - lower, timedelta(microseconds=1))
+    ends = F.array(*(floor_time(F.col(left_ts) + interval(shift), width) for shift in (lower, upper)))
+    left = left.withColumn("__bucket", F.explode(F.array_distinct(ends)))
+    right = right.withColumn("__bucket", floor_time(right_ts, width))
+    return left.join(right, [*keys, "__bucket"]).where(in_range).drop("__bucket")
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str) -> DataFrame:
@@ -76,7 +68,6 @@ def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     A null in the list leaves no row; a null in ``column`` passes only an empty list.
     """
     listed = values.select(F.col(values.columns[0]).alias("__v"))
-    nulls = listed.where(F.col("__v").isNull()).agg(F.count(F.lit(1)).alias("n")).scalar()
-    size = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    sizes = listed.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__v").isNull()).alias("nulls"))).scalar()
     kept = df.join(listed.distinct(), F.col(column) == F.col("__v"), "left_anti")
-    return kept.where((nulls == 0) & (F.col(column).isNotNull() | (size == 0)))
+    return kept.where((sizes["nulls"] == 0) & (F.col(column).isNotNull() | (sizes["rows"] == 0)))

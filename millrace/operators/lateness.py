@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.spans import interval, text
+from millrace.functions.spans import floor_time, interval
 from millrace.operators.ordered import highest, ordered
 
 TICK = timedelta(milliseconds=1)
@@ -23,10 +23,11 @@ def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: timedelta, bo
     ``watermark`` is what the earlier arrivals have set: their latest event time less ``bound`` and
     ``tick`` (punctuated and periodic generators use a zero tick). ``status`` is ``on_time``,
     ``refire`` (the window has fired but is still open for ``allowed``) or ``late``. With ``slide``,
-    the bounds are those of the row's last window: a row is late when all of its windows are closed.
+    the bounds are those of the row's last window: a row is late when all of its windows are closed. A row without a time has no window and is
+    never late.
     """
     seen = ordered(df, [], arrival, max_rows).running({"__seen": highest(ts)}, exclusive=True).to_df()
-    start = F.window(ts, text(slide or size))["start"]
+    start = floor_time(ts, slide or size)
     out = seen.withColumn("window_start", start)
     out = out.withColumn("window_end", F.col("window_start") + interval(size))
     out = out.withColumn("watermark", F.col("__seen") - interval(bound + tick)).drop("__seen")
@@ -35,7 +36,7 @@ def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: timedelta, bo
 
 
 def _status(watermark: Column, last_instant: Column, allowed: timedelta) -> Column:
-    return (F.when(watermark.isNull() | (watermark < last_instant), "on_time")
+    return (F.when(watermark.isNull() | last_instant.isNull() | (watermark < last_instant), "on_time")
             .when(watermark < last_instant + interval(allowed), "refire").otherwise("late"))
 
 

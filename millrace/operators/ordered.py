@@ -20,8 +20,7 @@ from millrace.checkpoints import reliable
 
 MAX_ROWS = 1 << 18  # rows of one key that a single task may hold, unless MAX_ROWS_CONF says otherwise
 MAX_ROWS_CONF = "spark.millrace.maxRowsPerKey"
-MAX_CHUNKS = 10_000  # chunks for all hot keys together
-BROADCAST_ROWS = 100_000  # largest helper table sent to every executor
+BROADCAST_BYTES = 32 << 20  # largest helper table sent to every executor, measured as text
 
 CHUNK = "__chunk"
 
@@ -167,7 +166,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows:
     if hot is None:
         return Ordered(df, keys, order, split=False)
     rows = hot.agg(F.sum("__rows")).first()[0]
-    chunks = min(MAX_CHUNKS, math.ceil(rows / max_rows) + 1)
+    chunks = math.ceil(rows / max_rows) + 1
     if keys:
         same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
         marked = small(hot.drop("__rows"))
@@ -204,7 +203,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) ->
 
 def small(df: DataFrame) -> DataFrame:
     """Hint a broadcast when the measured size allows it; otherwise leave the join to Spark."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def _col(value) -> Column:

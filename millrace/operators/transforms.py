@@ -9,11 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from millrace.functions.spans import literal
+
 
 def split_words(df: DataFrame, text: str, word="word", sep=" ") -> DataFrame:
     """One row per ``sep``-separated token; trailing empty tokens are cut, inner ones are kept."""
     kept = F.rtrim(F.col(text), F.lit(sep))
-    tokens = F.when((kept != "") | (F.col(text) == ""), F.split(kept, f"[{sep}]"))
+    tokens = F.when((kept != "") | (F.col(text) == ""), F.split(kept, literal(sep)))
     return df.select(*[c for c in df.columns if c != text], F.explode(tokens).alias(word))
 
 

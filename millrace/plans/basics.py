@@ -84,13 +84,12 @@ def connect_map(spark, folder):
 
 @query(f"with {READINGS} select seq, id, ts, vc from r")
 def repartition_rows(spark, folder):
-    return readings(spark, folder).repartition(16)
+    return readings(spark, folder).hint("rebalance")
 
 
 @query(f"with {READINGS} select seq, cast(vc as varchar) || cast(id as varchar) as keyed from r")
 def process_key(spark, folder):
-    rows = readings(spark, folder).repartition("id", F.col("seq") % 16)
-    return transforms.append_key(rows, F.col("vc"), "id").select("seq", "keyed")
+    return transforms.append_key(readings(spark, folder), F.col("vc"), "id").select("seq", "keyed")
 
 
 @query(f"with {READINGS} select id, cast(sum(vc) as bigint) as total from r group by id")
@@ -159,7 +158,9 @@ def over_count_desc(spark, folder):
     rows = readings(spark, folder).select("seq", "id", "ts")
     times = rows.groupBy("id", "ts").agg(F.count("id").alias("n"))
     later = ordered(times, ["id"], ["ts"]).running({"cnt": total("n")}, reverse=True).to_df()
-    return rows.join(later.select("id", "ts", "cnt"), ["id", "ts"]).select("seq", "id", "cnt")
+    later = later.select(F.col("id").alias("later_id"), F.col("ts").alias("later_ts"), "cnt")
+    same = F.col("id").eqNullSafe(F.col("later_id")) & F.col("ts").eqNullSafe(F.col("later_ts"))
+    return rows.join(later, same).select("seq", "id", "cnt")
 
 
 @query(f"""with {READINGS} select seq, id,

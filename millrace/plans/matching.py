@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import joins, patterns
 from millrace.operators.alerts import payment_status
-from millrace.plans.registry import of_type, query, table
+from millrace.plans.registry import all_events, of_type, query, table
 
 DAY = timedelta(days=1)
 KEY, ORDER = ["user_id"], ["ts", "seq"]
@@ -18,18 +18,19 @@ def is_(kind):
 # Later rows of the same user, in event-time order.
 E = "e as (select event_id as seq, user_id, event_type, ts from events)"
 AHEAD = """n as (select *, lead(seq) over w as n_seq, lead(event_type) over w as n_type, lead(ts) over w as n_ts
-  from e window w as (partition by user_id order by ts, seq))"""
+  from e window w as (partition by user_id order by ts nulls first, seq))"""
 
 
 
 
 def _later(kind, name):
     return (f"first_value(case when event_type = '{kind}' then {{}} end ignore nulls) over "
-            f"(partition by user_id order by ts, seq rows between 1 following and unbounded following) as {name}")
+            f"(partition by user_id order by ts nulls first, seq rows between 1 following and unbounded following) as {name}")
 
 
-def _sequence(spark, folder, first, steps, within=None):
-    events = of_type(spark, folder, "view", "click", "signup", "error", "purchase")
+def _sequence(spark, folder, first, steps, within=None, named=()):
+    """Over all events; over those of the types in ``named`` where no step asks for the very next row."""
+    events = of_type(spark, folder, *named) if named else all_events(spark, folder)
     return patterns.match_sequence(events, KEY, ORDER, is_(first), steps, "ts", within)
 
 
@@ -45,7 +46,7 @@ def cep_next(spark, folder):
     return found.select(F.col("start.seq").alias("start_seq"), F.col("next.seq").alias("next_seq"))
 
 
-@query(f"with {E}, {AHEAD} select seq as start_seq from n where event_type = 'view' and n_type <> 'click'")
+@query(f"with {E}, {AHEAD} select seq as start_seq from n where event_type = 'view' and n_seq is not null and n_type is distinct from 'click'")
 def cep_not_next(spark, folder):
     found = _sequence(spark, folder, "view", [patterns.not_next("no", is_("click"))]).where("matched")
     return found.select(F.col("start.seq").alias("start_seq"))
@@ -54,17 +55,17 @@ def cep_not_next(spark, folder):
 @query(f"""with {E}, f as (select *, {_later('purchase', 'end_seq').format('seq')} from e)
 select seq as start_seq, end_seq from f where event_type = 'view' and end_seq is not null""")
 def cep_followed_by(spark, folder):
-    found = _sequence(spark, folder, "view", [patterns.followed_by("buy", is_("purchase"))]).where("matched")
+    found = _sequence(spark, folder, "view", [patterns.followed_by("buy", is_("purchase"))], named=("view", "purchase")).where("matched")
     return found.select(F.col("start.seq").alias("start_seq"), F.col("buy.seq").alias("end_seq"))
 
 
-@query(f"""with {E}, f as (select *, {_later('purchase', 'end_seq').format('seq')},
-  {_later('error', 'bad_seq').format('seq')} from e)
-select seq as start_seq, end_seq from f where event_type = 'view' and end_seq is not null
-  and (bad_seq is null or end_seq < bad_seq)""")
+@query(f"""with {E}, o as (select *, row_number() over (partition by user_id order by ts nulls first, seq) as n from e),
+f as (select *, {_later('purchase', 'end_seq').format('seq')}, {_later('purchase', 'end_n').format('n')},
+  {_later('error', 'bad_n').format('n')} from o)
+select seq as start_seq, end_seq from f where event_type = 'view' and end_seq is not null and (bad_n is null or end_n < bad_n)""")
 def cep_not_followed_by(spark, folder):
     steps = [patterns.not_followed_by("no", is_("error")), patterns.followed_by("buy", is_("purchase"))]
-    found = _sequence(spark, folder, "view", steps).where("matched")
+    found = _sequence(spark, folder, "view", steps, named=("view", "error", "purchase")).where("matched")
     return found.select(F.col("start.seq").alias("start_seq"), F.col("buy.seq").alias("end_seq"))
 
 
@@ -73,7 +74,7 @@ select a.seq as start_seq, b.seq as middle_seq, b.p_seq as end_seq from f a join
 where a.event_type = 'view' and b.p_seq is not null""")
 def cep_three_steps(spark, folder):
     steps = [patterns.followed_by("click", is_("click")), patterns.followed_by("buy", is_("purchase"))]
-    found = _sequence(spark, folder, "view", steps).where("matched")
+    found = _sequence(spark, folder, "view", steps, named=("view", "click", "purchase")).where("matched")
     return found.select(F.col("start.seq").alias("start_seq"), F.col("click.seq").alias("middle_seq"),
                         F.col("buy.seq").alias("end_seq"))
 
@@ -87,7 +88,7 @@ def cep_followed_by_any(spark, folder):
     return pairs.select(F.col("start.seq").alias("start_seq"), F.col("later.seq").alias("later_seq"))
 
 
-TIMES = f"""with {E}, m as (select *, row_number() over (partition by user_id order by ts, seq) as n from e
+TIMES = f"""with {E}, m as (select *, row_number() over (partition by user_id order by ts nulls first, seq) as n from e
   where event_type = 'error')
 select a.user_id, a.seq as start_seq, b.seq as last_seq, b.n - a.n + 1 as times from m a join m b
   on a.user_id = b.user_id and b.n - a.n"""
@@ -157,16 +158,16 @@ def cep_match_map(spark, folder):
 
 
 @query(f"""with {E}, n as (select *, lead(seq) over w as n_seq, lead(event_type) over w as n_type
-  from e window w as (order by ts, seq))
+  from e window w as (order by ts nulls first, seq))
 select seq as start_seq, n_seq as next_seq from n where event_type = 'view' and n_type = 'click'""")
 def cep_global(spark, folder):
-    events = of_type(spark, folder, "view", "click", "signup", "error", "purchase")
+    events = all_events(spark, folder)
     found = patterns.match_sequence(events, [], ORDER, is_("view"), [patterns.next_("next", is_("click"))])
     return found.where("matched").select(F.col("start.seq").alias("start_seq"), F.col("next.seq").alias("next_seq"))
 
 
 @query("""with e as (select event_id as seq, user_id, event_type, ts from events where event_type in ('error', 'signup')),
-n as (select *, lead(event_type) over w as n_type, lead(ts) over w as n_ts from e window w as (partition by user_id order by ts, seq))
+n as (select *, lead(event_type) over w as n_type, lead(ts) over w as n_ts from e window w as (partition by user_id order by ts nulls first, seq))
 select user_id, ts as first_fail, n_ts as second_fail from n
 where event_type = 'error' and n_type = 'error' and n_ts < ts + interval '1 day'""")
 def login_abuse(spark, folder):

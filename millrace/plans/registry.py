@@ -39,6 +39,11 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
 READINGS = "r as (select event_id as seq, user_id as id, ts, cast(floor(value) as int) as vc from events)"
 
 
+def all_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of every type, without the unused columns."""
+    return table(spark, folder, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type", "ts")
+
+
 def of_type(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     """Events of the given types, without the unused columns."""
     events = table(spark, folder, "events").where(F.col("event_type").isin(*types))

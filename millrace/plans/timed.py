@@ -105,9 +105,14 @@ def uv_hourly(spark, folder):
     return distinct.distinct_per_window(of_type(spark, folder, "view"), "ts", HOUR, "user_id")
 
 
-@query()
+@query(f"""select {HOURLY}, true as within from events where event_type = 'view' and ts is not null group by window_start, window_end""")
 def uv_approx(spark, folder):
-    return distinct.approx_per_window(of_type(spark, folder, "view"), "ts", HOUR, "user_id")
+    """Whether each window's approximate count is within 5 % (or one visitor) of the exact one."""
+    views = of_type(spark, folder, "view")
+    about = distinct.approx_per_window(views, "ts", HOUR, "user_id").withColumnRenamed("uv", "about")
+    exact = distinct.distinct_per_window(views, "ts", HOUR, "user_id")
+    off = F.abs(F.col("about") - F.col("uv"))
+    return exact.join(about, ["window_start", "window_end"]).select("window_start", "window_end", (off <= F.greatest(0.05 * F.col("uv"), F.lit(1))).alias("within"))
 
 
 @query("""with v as (select time_bucket(interval '1 hour', ts) as window_start,
@@ -125,10 +130,10 @@ def pv_hourly(spark, folder):
 
 ARRIVALS = """a as (select event_id, ts, user_id, ts + (event_id * 7919 % 600) * interval '1 second' as arrived from events),
 w as (select *, time_bucket(interval '5 minutes', ts) as window_start,
-  max(ts) over (order by arrived, event_id rows between unbounded preceding and 1 preceding) - interval '1 millisecond'
+  max(ts) over (order by arrived nulls first, event_id rows between unbounded preceding and 1 preceding) - interval '1 millisecond'
     as watermark from a),
 c as (select event_id, window_start, window_start + interval '5 minutes' as window_end, watermark, user_id,
-  case when watermark is null or watermark < window_start + interval '5 minutes' - interval '1 millisecond' then 'on_time'
+  case when watermark is null or ts is null or watermark < window_start + interval '5 minutes' - interval '1 millisecond' then 'on_time'
     when watermark < window_start + interval '7 minutes' - interval '1 millisecond' then 'refire' else 'late' end as status from w)"""
 
 

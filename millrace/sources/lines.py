@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.spans import literal
+
 # Record layouts (fixed values).
 SENSOR = {"id": "string", "ts": "bigint", "vc": "int"}
 USER_BEHAVIOR = {"user_id": "bigint", "item_id": "bigint", "category_id": "int", "behavior": "string", "ts": "bigint"}
@@ -39,7 +41,7 @@ def parse_csv(lines: DataFrame, fields: Mapping[str, str], sep=",", value="value
 
     An empty field stays an empty string, which the CSV reader would turn into null.
     """
-    parts = F.split(F.col(value), f"[{sep}]")
+    parts = F.split(F.col(value), literal(sep))
     return lines.select(*[parts[i].cast(kind).alias(name) for i, (name, kind) in enumerate(fields.items())])
 
 

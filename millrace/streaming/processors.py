@@ -107,12 +107,12 @@ class CountWindows(StatefulProcessor):
     With ``slide == size`` these are tumbling count windows.
     """
 
-    def __init__(self, keys, size, slide):
-        self.keys, self.size, self.slide = keys, size, slide
+    def __init__(self, keys, size, slide, kind="bigint"):
+        self.keys, self.size, self.slide, self.kind = keys, size, slide, kind
 
     def init(self, handle):
         self.count = handle.getValueState("count", "n bigint")
-        self.last = handle.getListState("last", "value bigint")
+        self.last = handle.getListState("last", f"value {self.kind}")
 
     def handleInputRows(self, key, rows, timerValues):
         n = self.count.get()[0] if self.count.exists() else 0
@@ -284,10 +284,12 @@ class EventTimeOrder(StatefulProcessor):
     Rows that come after the watermark has passed their time are dropped.
     """
 
+    kind = "bigint"  # of the value
+
     def init(self, handle):
         self.handle = handle
         self.held = handle.getListState(
-            "held", "at bigint, seq bigint, value bigint, payload string, marks array<boolean>")
+            "held", f"at bigint, seq bigint, value {self.kind}, payload string, marks array<boolean>")
         self.begin(handle)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -318,11 +320,11 @@ class EventTimeOrder(StatefulProcessor):
 class RisingAlerts(EventTimeOrder):
     """Alerts for keys whose value has not fallen for ``hold``."""
 
-    def __init__(self, keys, hold):
-        self.keys, self.hold = keys, hold
+    def __init__(self, keys, hold, kind="bigint"):
+        self.keys, self.hold, self.kind = keys, hold, kind
 
     def begin(self, handle):
-        self.state = handle.getValueState("rising", "timer bigint, value bigint")
+        self.state = handle.getValueState("rising", f"timer bigint, value {self.kind}")
 
     def advance(self, key, events, watermark):
         timer, last = self.state.get() if self.state.exists() else (None, None)

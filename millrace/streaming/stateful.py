@@ -8,18 +8,31 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.spans import micros
+from millrace.functions.spans import epoch_micros, micros
 from millrace.operators.patterns import Step
 from millrace.streaming import processors as p
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _place(df: DataFrame, order: str) -> Column:
+    """The order as a number that keeps it: a timestamp's microseconds, or an integer."""
+    return epoch_micros(F.col(order)) if dict(df.dtypes)[order].startswith("timestamp") else F.col(order).cast("bigint")
+
+
+def _wide(df: DataFrame, value: str) -> str:
+    """The type that sums of a column need."""
+    kind = dict(df.dtypes)[value]
+    return "bigint" if kind in INTEGERS else "double" if kind == "float" else kind
+
+
 def rolling(df: DataFrame, keys: Sequence[str], order: str, columns: Mapping[str, tuple[str, str | None]]) -> DataFrame:
     """One row per input row with running values ``{name: (kind, column)}``."""
     types = dict(df.dtypes)
-    kinds = {"sum": "bigint", "count": "bigint"}
-    out = [kinds.get(kind) or types[field] for kind, field in columns.values()]
+    out = ["bigint" if kind == "count" or (kind == "sum" and types[field] in INTEGERS) else types[field] for kind, field in columns.values()]
     fields = [f"v{i} {kind}" for i, kind in enumerate(out)]
-    rows = df.withColumn("seq", F.col(order).cast("bigint"))
+    rows = df.withColumn("seq", _place(df, order))
     folded = _run(rows, keys, p.RollingFold(list(keys), list(columns.values()), ", ".join(fields)),
                   f"seq bigint, {', '.join(fields)}")
     return folded.select(*keys, F.col("seq").alias(order), *[F.col(f"v{i}").alias(n) for i, n in enumerate(columns)])
@@ -30,23 +43,24 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: str, fields: Seque
     """Rolling reduce over the tuple of ``fields``."""
     types = dict(df.dtypes)
     schema = ", ".join(f"`{f}` {types[f]}" for f in fields)
-    rows = df.withColumn("seq", F.col(order).cast("bigint"))
+    rows = df.withColumn("seq", _place(df, order))
     return _run(rows, keys, p.RollingReduce(list(keys), function, list(fields), schema), f"seq bigint, {schema}")
 
 
 def running_distinct(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
-    rows = df.select(*keys, F.col(order).cast("bigint").alias("seq"), F.col(value).cast("string").alias("value"))
+    rows = df.select(*keys, _place(df, order).alias("seq"), F.col(value).cast("string").alias("value"))
     return _run(rows, keys, p.RunningDistinct(list(keys)), "seq bigint, uv bigint")
 
 
 def count_windows(df: DataFrame, keys: Sequence[str], order: str, value: str, size: int, slide: int | None = None) -> DataFrame:
-    rows = df.select(*keys, F.col(order).cast("bigint").alias("seq"), F.col(value).cast("bigint").alias("value"))
-    return _run(rows, keys, p.CountWindows(list(keys), size, slide or size), "fired_at bigint, total bigint")
+    kind = _wide(df, value)
+    rows = df.select(*keys, _place(df, order).alias("seq"), F.col(value).cast(kind).alias("value"))
+    return _run(rows, keys, p.CountWindows(list(keys), size, slide or size, kind), f"fired_at bigint, total {kind}")
 
 
 def count_changes(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The retract log of a count; one withdrawn and one added row per input row."""
-    rows = df.select(*keys, F.col(order).cast("bigint").alias("seq"))
+    rows = df.select(*keys, _place(df, order).alias("seq"))
     types = dict(df.dtypes)
     schema = ", ".join(["seq bigint", *[f"`{k}` {types[k]}" for k in keys], "is_add boolean", "cnt bigint"])
     return rows.groupBy(*keys).transformWithState(p.CountChanges(list(keys)), schema, "Append", "None")
@@ -54,10 +68,10 @@ def count_changes(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 def switched(main: DataFrame, control: DataFrame, order: str, setting: str, buckets: int = 64) -> DataFrame:
     """Main rows with the control setting in force; the control rows go to every bucket."""
-    wide = main.select(F.col(order).cast("bigint").alias("seq"), F.lit(False).alias("is_control"),
+    wide = main.select(_place(main, order).alias("seq"), F.lit(False).alias("is_control"),
                        F.lit(None).cast("string").alias("setting"),
                        F.pmod(F.xxhash64(order), F.lit(buckets)).cast("int").alias("bucket"))
-    copies = control.select(F.col(order).cast("bigint").alias("seq"), F.lit(True).alias("is_control"),
+    copies = control.select(_place(control, order).alias("seq"), F.lit(True).alias("is_control"),
                             F.col(setting).cast("string").alias("setting"),
                             F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
     rows = wide.unionByName(copies)
@@ -68,8 +82,9 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_order: str, righ
     """Pairs of the two sides, as JSON payloads; rows wait until their partner arrives."""
 
     def side(df, order, name):
-        return df.where(F.col(key) != "").select(
-            F.col(key).alias("key"), F.col(order).cast("bigint").alias("seq"), F.lit(name).alias("side"),
+        named = F.col(key) != "" if dict(df.dtypes)[key] == "string" else F.col(key).isNotNull()
+        return df.where(named).select(
+            F.col(key).alias("key"), _place(df, order).alias("seq"), F.lit(name).alias("side"),
             F.to_json(F.struct(*df.columns)).alias("payload"))
 
     rows = side(left, left_order, "left").unionByName(side(right, right_order, "right"))
@@ -81,7 +96,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, left_order: str, righ
 def click_limit(df: DataFrame, keys: Sequence[str], order: str, ts: str, limit: int = 100) -> DataFrame:
     """Rows passed and alarms raised per key and UTC day (``kind``); ``df`` needs a watermark on ``ts``."""
     day = micros(timedelta(days=1)) // 1000
-    rows = df.select(*keys, ts, F.col(order).cast("bigint").alias("seq"),
+    rows = df.select(*keys, ts, _place(df, order).alias("seq"),
                      ((F.floor(F.unix_millis(ts) / day) + 1) * day).alias("day_end"))
     keyed = [*keys, "day_end"]
     return _run(rows, keyed, p.ClickLimit(keyed, limit), "seq bigint, kind string", "EventTime")
@@ -90,7 +105,7 @@ def click_limit(df: DataFrame, keys: Sequence[str], order: str, ts: str, limit:
 def with_context(df: DataFrame, keys: Sequence[str], order: str, ts: str, cancel: Column, delay: timedelta,
                  by_event_time=True) -> DataFrame:
     """Each row with its watermark and clock, and a ``timer`` row when the key's timer fires."""
-    rows = df.select(*keys, ts, F.col(order).cast("bigint").alias("seq"), F.unix_millis(ts).alias("at"),
+    rows = df.select(*keys, ts, _place(df, order).alias("seq"), F.unix_millis(ts).alias("at"),
                      F.coalesce(cancel, F.lit(False)).alias("cancel"))
     return _run(rows, keys, p.Context(list(keys), micros(delay) // 1000, by_event_time),
                 "kind string, at bigint, watermark bigint, now bigint",
@@ -99,14 +114,15 @@ def with_context(df: DataFrame, keys: Sequence[str], order: str, ts: str, cancel
 
 def payment_timer(df: DataFrame, keys: Sequence[str], order: str, ts: str, is_create: Column, limit: timedelta) -> DataFrame:
     """Order status in arrival order, with a timer for the missing half."""
-    rows = df.select(*keys, ts, F.col(order).cast("bigint").alias("seq"), F.unix_millis(ts).alias("at"),
+    rows = df.select(*keys, ts, _place(df, order).alias("seq"), F.unix_millis(ts).alias("at"),
                      is_create.alias("is_create"))
     return _run(rows, keys, p.PaymentTimer(list(keys), micros(limit) // 1000), "status string", "EventTime")
 
 
 def rising_alerts(df: DataFrame, keys: Sequence[str], order: str, ts: str, value: str, hold: timedelta) -> DataFrame:
-    rows = _events(df, keys, order, ts, [], F.col(value).cast("bigint"))
-    return _run(rows, keys, p.RisingAlerts(list(keys), micros(hold) // 1000), "start_at bigint, fire_at bigint", "EventTime")
+    kind = _wide(df, value)
+    rows = _events(df, keys, order, ts, [], F.col(value).cast(kind))
+    return _run(rows, keys, p.RisingAlerts(list(keys), micros(hold) // 1000, kind), "start_at bigint, fire_at bigint", "EventTime")
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], order: str, ts: str, start: Column,
@@ -121,7 +137,7 @@ def match_sequence(df: DataFrame, keys: Sequence[str], order: str, ts: str, star
 def _events(df, keys, order, ts, marks, value):
     flags = [F.coalesce(m, F.lit(False)) for m in marks] or [F.lit(False)]
     payload = F.to_json(F.struct(*df.columns)) if marks else F.lit(None).cast("string")
-    return df.select(*keys, ts, F.unix_millis(ts).alias("at"), F.col(order).cast("bigint").alias("seq"),
+    return df.select(*keys, ts, F.unix_millis(ts).alias("at"), _place(df, order).alias("seq"),
                      value.alias("value"), payload.alias("payload"), F.array(*flags).alias("marks"))
 
 

@@ -58,8 +58,3 @@ def test_entry(spark):
     assert driver.entry(spark).limit(1).count() == 1
 
 
-def test_approximate_distinct(spark):
-    exact = driver.queries()["uv_hourly"](spark, FOLDER)
-    approx = driver.queries()["uv_approx"](spark, FOLDER).withColumnRenamed("uv", "about")
-    off = exact.join(approx, ["window_start", "window_end"]).where("abs(uv - about) > 0.05 * uv")
-    assert approx.count() == exact.count() and off.isEmpty()
