@@ -34,16 +34,20 @@ def rising_alerts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     fresh = F.col("__ts").isNull() | F.col("__after_fall") | (F.col(ts) > F.col("__ts") + interval(hold))
     rows = rows.running({"__run": latest(F.when(fresh, F.struct(*[F.col(c) for c in order])))})
     runs, places = [f"__r{i}" for i in range(len(order))], [f"__o{i}" for i in range(len(order))]
+    types = dict(df.dtypes)
+    # integers that pass through pandas beside a null would be inexact, so they go as text
+    sent = lambda c, kind: c.cast("string") if kind in ("tinyint", "smallint", "int", "bigint") else c
     flat = rows.to_df().select(
-        *keys, *[F.col("__run")[c].alias(r) for c, r in zip(order, runs)],
+        *[sent(F.col(k), types[k]).alias(k) for k in keys],
+        *[sent(F.col("__run")[c], types[c]).alias(r) for c, r in zip(order, runs)],
         *[F.col(c).alias(o) for c, o in zip(order, places)], F.col(ts).alias("__at"), "__fall")
     group = [*keys, *runs]
     cut = ordered(flat, group, places, max_rows) if rows.split else None
     if cut is None or not cut.split:
-        return _short_runs(flat, group, places, hold).select(*keys, "start_ts", "fire_ts")
+        return _short_runs(flat, group, places, hold).select(*[F.col(k).cast(types[k]) for k in keys], "start_ts", "fire_ts")
     short = _short_runs(cut.df.where(f"{CHUNK} = 0"), group, places, hold)
     long = _long_runs(cut.df.where(f"{CHUNK} > 0"), group, hold)
-    return short.unionByName(long).select(*keys, "start_ts", "fire_ts")
+    return short.unionByName(long).select(*[F.col(k).cast(types[k]) for k in keys], "start_ts", "fire_ts")
 
 
 def _short_runs(flat: DataFrame, group: Sequence[str], places: Sequence[str], hold: timedelta) -> DataFrame:

@@ -7,6 +7,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FLUSH_KEYS = 50_000  # accumulators held by a task before they are passed on
 
@@ -26,11 +27,14 @@ class AggregateFunction(Protocol):
 def aggregate_with(df: DataFrame, keys: Sequence[str], function: AggregateFunction) -> DataFrame:
     """Two phases, like a built-in aggregate: ``add`` runs before the shuffle, ``merge`` after it.
 
-    The shuffle carries one accumulator per key and task, so no task receives the rows of a key.
+    The shuffle carries one accumulator per key and task, so no task receives the rows of a key. Built-in aggregates come first: this
+    one is for accumulators that they can't express. Integer keys travel as text, since pandas would make those beside a null inexact.
     """
-    keys = list(keys)
-    types = dict(df.dtypes)
-    key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
+    named, types = list(keys), dict(df.dtypes)
+    keys = [f"__key{i}" for i in range(len(named))]
+    sent = ["string" if types[k] in ("tinyint", "smallint", "int", "bigint") else types[k] for k in named]
+    df = df.withColumns({k: F.col(n).cast(t) for k, n, t in zip(keys, named, sent)})
+    key_schema = ", ".join(f"`{k}` {t}" for k, t in zip(keys, sent))
     fields = [part.split()[0] for part in function.accumulator_schema.split(",")]
     results = [part.split()[0] for part in function.result_schema.split(",")]
 
@@ -66,4 +70,5 @@ def aggregate_with(df: DataFrame, keys: Sequence[str], function: AggregateFuncti
 
     partial = df.mapInPandas(fold, f"{key_schema}, {function.accumulator_schema}")
     sorted_ = partial.repartition(*keys).sortWithinPartitions(*keys)
-    return sorted_.mapInPandas(merge, f"{key_schema}, {function.result_schema}")
+    out = sorted_.mapInPandas(merge, f"{key_schema}, {function.result_schema}")
+    return out.select(*[F.col(k).cast(types[n]).alias(n) for k, n in zip(keys, named)], *[c for c in out.columns if c not in keys])

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.spans import common, floor_time, interval, text
-from millrace.operators.ordered import count, ordered
+from millrace.operators.ordered import count, latest, ordered, previous
 
 # How the values of two panes of the same window combine.
 MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -68,17 +68,16 @@ def sessions(df: DataFrame, ts: str, gap: timedelta, keys: Sequence[str],
     """Session windows ``[first, last + gap)``; windows that touch merge.
 
     Two rows of a key in the same gap-wide pane always share a session, so rows fold into panes
-    first. The window over a key then sees at most one row per gap of time, whatever the row count.
+    first: a key then has at most one row per gap of time, whatever the row count. A long history is split like any hot key.
+    Rows without a time have no window.
     """
     panes = df.groupBy(F.window(ts, text(gap))["start"].alias("__pane"), *keys).agg(
         F.min(ts).alias("__lo"), F.max(ts).alias("__hi"),
         *_fold(aggs))
-    by_time = Window.partitionBy(*keys).orderBy("__pane")
-    last_end = F.lag("__hi").over(by_time) + interval(gap)
-    opened = panes.withColumn("__new", F.when(last_end.isNull() | (F.col("__lo") > last_end), F.col("__lo")))
-    marked = opened.withColumn(
-        "window_start", F.last("__new", ignorenulls=True).over(
-            by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    last_end = F.col("__before") + interval(gap)
+    opened = ordered(panes, keys, ["__pane"]).running({"__before": previous("__hi")}, exclusive=True).with_columns(
+        {"__new": F.when(last_end.isNull() | (F.col("__lo") > last_end), F.col("__lo"))})
+    marked = opened.running({"window_start": latest("__new")}).to_df()
     out = marked.groupBy(*keys, "window_start").agg(
         F.max("__hi").alias("__hi"),
         *_merge(aggs))

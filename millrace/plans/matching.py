@@ -200,23 +200,35 @@ def interval_join(spark, folder):
 
 
 def _reconciled(spark, folder):
-    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"), "o_orderdate")
-    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("k"), F.struct(
-        "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey").alias("arrived"))
-    return joins.reconcile(orders, lines, "k", "o_orderdate", "arrived")
-
-
-@query("""with o as (select o_orderkey, o_orderdate from orders), l as (select *, row_number() over (partition by l_orderkey
-  order by l_shipdate desc, l_linenumber desc, l_partkey desc, l_suppkey desc) as rn from lineitem)
-select o_orderkey, o_orderdate, l_shipdate, l_linenumber, l_partkey from o join l on o_orderkey = l_orderkey where rn = 1""")
+    """Orders of a customer against lines of the part with the same number: many of each for one key."""
+    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("id"),
+                                                   *[F.lit(0).cast("bigint").alias(c) for c in ("line", "tie")])
+    lines = table(spark, folder, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_shipdate").alias("at"), F.col("l_orderkey").alias("id"),
+                                                    F.col("l_linenumber").cast("bigint").alias("line"), F.col("l_suppkey").cast("bigint").alias("tie"))
+    return joins.reconcile(orders, lines, "k", ["at", "id", "line", "tie"], ["at", "id", "line", "tie"])
+
+
+ARRIVED = """a as (select o_custkey as k, o_orderdate as at_, 0 as side, o_orderkey as id, 0 as line, 0 as tie from orders
+  union all select l_partkey, l_shipdate, 1, l_orderkey, l_linenumber, l_suppkey from lineitem),
+b as (select *, row_number() over w as n, lag(side) over w as before from a window w as (partition by k order by at_, id, line, tie, side)),
+r as (select *, sum(case when before is null or before <> side then 1 else 0 end) over (partition by k order by n) as run from b),
+g as (select k, run, min(side) as side, count(*) as cnt, arg_min(id, n) as first_id, arg_min(line, n) as first_line,
+  arg_max(id, n) as last_id, arg_max(line, n) as last_line from r group by k, run),
+h as (select *, max(case when cnt > 1 then run end) over (partition by k order by run rows between unbounded preceding and 1 preceding) as reset,
+  lag(last_id) over (partition by k order by run) as id_before, lag(last_line) over (partition by k order by run) as line_before,
+  lead(run) over (partition by k order by run) as run_after from g),
+m as (select *, case when reset is null then run % 2 = 0 else (run - reset) % 2 = 1 end as matched from h)"""
+
+
+@query(f"""with {ARRIVED} select k, case when side = 0 then first_id else id_before end as o_orderkey,
+  case when side = 1 then first_id else id_before end as l_orderkey, case when side = 1 then first_line else line_before end as l_linenumber
+from m where matched""")
 def reconcile_match(spark, folder):
     pairs = joins.matches(_reconciled(spark, folder))
-    return pairs.select(F.col("k").alias("o_orderkey"), "left.o_orderdate", "right.arrived.l_shipdate",
-                        "right.arrived.l_linenumber", "right.arrived.l_partkey")
+    return pairs.select("k", F.col("left.id").alias("o_orderkey"), F.col("right.id").alias("l_orderkey"), F.col("right.line").alias("l_linenumber"))
 
 
-@query("""select o_orderkey as k, 'left' as side from orders where o_orderkey not in (select l_orderkey from lineitem)
-union all select distinct l_orderkey, 'right' from lineitem where l_orderkey not in (select o_orderkey from orders)""")
+@query(f"""with {ARRIVED} select k, case when side = 0 then 'left' else 'right' end as side from m where run_after is null and (cnt > 1 or not matched)""")
 def reconcile_gaps(spark, folder):
     return joins.gaps(_reconciled(spark, folder))
 

@@ -56,3 +56,50 @@ def test_streams_keep_fractions(spark, replay, drain):
 def test_stream_of_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{DATA}/sf0.001/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     assert driver.queries()["stream_pv_hourly"](spark, str(tmp_path)).collect() == []
+
+
+def test_reconcile_by_arrival(spark, tight):
+    """Against a keyed cache that takes one row at a time."""
+    import random
+
+    from millrace.operators import joins
+
+    rng = random.Random(8)
+    cases = {"a": "LRLR", "b": "LRR", "c": "LLR", "d": "R", "e": "LLLRRRLLRLRRL"} | {f"k{i}": "".join(rng.choice("LR") for _ in range(rng.randrange(1, 30))) for i in range(25)}
+    rows = [(k, n, side) for k, sides in cases.items() for n, side in enumerate(sides)] + [("", 1, "L"), (None, 2, "R")]
+    want, waits = [], []
+    for k, sides in cases.items():
+        held = None
+        for n, side in enumerate(sides):
+            if held and held[0] != side:
+                want.append((k, *((held[1], n) if held[0] == "L" else (n, held[1]))))
+                held = None
+            else:
+                held = (side, n)
+        if held:
+            waits.append((k, "left" if held[0] == "L" else "right"))
+    side = lambda s: spark.createDataFrame([(k, n) for k, n, x in rows if x == s], "k string, n bigint")
+    got = joins.reconcile(side("L"), side("R"), "k", "n", "n")
+    assert sorted((r.k, r.left.n, r.right.n) for r in joins.matches(got).collect()) == sorted(want)
+    assert sorted(tuple(r) for r in joins.gaps(got).collect()) == sorted(waits)
+
+
+def test_large_keys_stay_exact(spark):
+    from datetime import timedelta
+
+    from millrace.operators.alerts import rising_alerts
+    from millrace.operators.udaf import aggregate_with
+
+    class Rows:
+        accumulator_schema = result_schema = "n bigint"
+        create = staticmethod(lambda: (0,))
+        add = staticmethod(lambda held, rows: (held[0] + len(rows),))
+        merge = staticmethod(lambda a, b: (a[0] + b[0],))
+        result = staticmethod(lambda held: held)
+
+    big = 9007199254740993
+    rows = spark.createDataFrame([(big, 1, 1.0), (None, 2, 1.0), (big, 3, 2.0), (7, 4, 1.0)], "id bigint, seq bigint, v double").coalesce(1)
+    assert sorted(aggregate_with(rows, ["id"], Rows()).collect(), key=repr) == [(7, 1), (big, 2), (None, 1)]
+    timed = rows.withColumn("ts", F.timestamp_seconds("seq"))
+    got = rising_alerts(timed, ["id"], ["seq"], "ts", "v", timedelta(seconds=1))
+    assert {r.id for r in got.collect()} == {7, big, None}

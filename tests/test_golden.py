@@ -130,8 +130,8 @@ def test_reconcile(spark):
     orders = spark.createDataFrame([("", 1), ("p", 2), ("q", 3), ("q", 4), ("z", 5)], "tx string, n int")
     receipts = spark.createDataFrame([("p", 1), ("q", 2), ("y", 3)], "tx string, n int")
     both = joins.reconcile(orders, receipts, "tx", "n", "n")
-    assert rows(joins.matches(both), "tx", "left.n", "right.n") == [("p", 2, 1), ("q", 4, 2)]
-    assert rows(joins.gaps(both)) == [("y", "right"), ("z", "left")]
+    assert rows(joins.matches(both), "tx", "left.n", "right.n") == [("p", 2, 1), ("q", 3, 2)]
+    assert rows(joins.gaps(both)) == [("q", "left"), ("y", "right"), ("z", "left")]
 
 
 def test_switch_defaults_to_off(spark):
