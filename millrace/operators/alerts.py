@@ -46,28 +46,41 @@ def rising_alerts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
     if cut is None or not cut.split:
         return _short_runs(flat, group, places, hold).select(*[F.col(k).cast(types[k]) for k in keys], "start_ts", "fire_ts")
     short = _short_runs(cut.df.where(f"{CHUNK} = 0"), group, places, hold)
-    long = _long_runs(cut.df.where(f"{CHUNK} > 0"), group, hold)
+    long = _long_runs(cut.df.where(f"{CHUNK} > 0"), group, hold, max_rows)
     return short.unionByName(long).select(*[F.col(k).cast(types[k]) for k in keys], "start_ts", "fire_ts")
 
 
 def _short_runs(flat: DataFrame, group: Sequence[str], places: Sequence[str], hold: timedelta) -> DataFrame:
-    """Alerts of runs that fit one task, each read in order."""
-    names, wait = list(group), pd.Timedelta(hold)
+    """Alerts of runs that fit one task. A run is searched from one timer's end to the next, so the work is per alert and not per row."""
+    names, wait = list(group), np.timedelta64(hold)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, timer = None, None
+        here, timer = None, None  # the run that is open and its timer
         for batch in batches:
             fired = []
-            plain = [batch[n].astype(object).where(batch[n].notna(), None) for n in names]  # nulls compare equal
-            for run, at, fall in zip(zip(*plain), batch["__at"], batch["__fall"]):
-                if timer is not None and (run != here or at > timer):
+            at, fall = batch["__at"].to_numpy().astype("datetime64[us]"), batch["__fall"].to_numpy(bool)
+            codes = [pd.factorize(batch[n], use_na_sentinel=False)[0] for n in names]
+            change = np.zeros(len(batch), bool)
+            for code in codes:
+                change[1:] |= code[1:] != code[:-1]
+            edges = [0, *np.flatnonzero(change), len(batch)] if len(batch) else []
+            for low, high in zip(edges, edges[1:]):
+                run = tuple(None if pd.isna(v) else v for v in batch[names].iloc[low])
+                if run != here and timer is not None:
                     fired.append((*here, timer - wait, timer))
                     timer = None
-                here = run
-                if fall:
+                here, i, times = run, low, at[low:high]
+                while i < high:  # only the last row of a run can be a fall
+                    if timer is None:
+                        if fall[i]:
+                            break
+                        timer = at[i] + wait
+                    i = low + int(np.searchsorted(times, timer, "right"))
+                    if i < high:
+                        fired.append((*here, timer - wait, timer))
+                        timer = None
+                if fall[high - 1]:
                     timer = None
-                elif timer is None:
-                    timer = at + wait
             yield table(fired, batch)
         if timer is not None:
             yield table([(*here, timer - wait, timer)], batch)
@@ -80,9 +93,9 @@ def _short_runs(flat: DataFrame, group: Sequence[str], places: Sequence[str], ho
     return rows.mapInPandas(walk, _schema(rows, group, "start_ts", "fire_ts"))
 
 
-def _long_runs(rows: DataFrame, group: Sequence[str], hold: timedelta) -> DataFrame:
+def _long_runs(rows: DataFrame, group: Sequence[str], hold: timedelta, max_rows: int | None) -> DataFrame:
     """Alerts of runs cut into chunks; a run ends at its fall, which cancels a timer still running."""
-    starts = _long_run_starts(rows, group, hold)
+    starts = _long_run_starts(rows, group, hold, max_rows)
     falls = rows.where("__fall").groupBy(*group).agg(F.min("__at").alias("__fall_at"))
     fire = F.col("start_ts") + interval(hold)
     kept = starts.join(*_lookup(falls, group), "left").where(F.col("__fall_at").isNull() | (F.col("__fall_at") > fire))
@@ -95,56 +108,31 @@ def _lookup(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     return df.withColumnsRenamed({c: f"__k{i}" for i, c in enumerate(keys)}), reduce(Column.__and__, same)
 
 
-def _long_run_starts(rows: DataFrame, group: Sequence[str], hold: timedelta) -> DataFrame:
-    """Rows that start a timer: the first of a run, then each first row later than the timer before it.
+def _long_run_starts(rows: DataFrame, group: Sequence[str], hold: timedelta, max_rows: int | None) -> DataFrame:
+    """Times that start a timer: the first of a run, then each first time later than the timer before it.
 
-    A chunk maps the timer that runs when it begins to the one that runs when it ends. These maps are
-    chained along the run, and every chunk then finds its own starts.
+    Each time's next start is a running value over times and deadlines together. From the first time of each run the starts are reached by
+    hops that double in length: joins on (run, time), in which no run is one group.
     """
-    rows = rows.where("not __fall").select(*group, CHUNK, "__at")
-    wait = np.timedelta64(hold)
-    chunk = [*group, CHUNK]
-
-    def times(pdf: pd.DataFrame) -> np.ndarray:
-        return np.sort(pdf["__at"].to_numpy().astype("datetime64[us]"))
-
-    def repeated(pdf: pd.DataFrame, columns: Sequence[str], n: int) -> pd.DataFrame:
-        return pdf[list(columns)].iloc[np.zeros(n, int)].reset_index(drop=True)
-
-    def transitions(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = times(pdf)
-        following = np.searchsorted(at, at + wait, "right")
-        ends = at + wait
-        for i in range(len(at) - 1, -1, -1):
-            if following[i] < len(at):
-                ends[i] = ends[following[i]]
-        reach = min(following[0] + 1, len(at))  # the timer at entry is at most ``hold`` past the first row
-        last = np.append(ends[:reach - 1] != ends[1:reach], True)
-        return repeated(pdf, chunk, int(last.sum())).assign(before=at[:reach][last], then=ends[:reach][last])
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        timer, found = None, []
-        for number, steps in pdf.sort_values([CHUNK, "before"]).groupby(CHUNK):
-            found.append((*[pdf[name].iloc[0] for name in group], number, timer))
-            later = steps if timer is None else steps[steps["before"] > timer]
-            if len(later):
-                timer = later["then"].iloc[0]
-        out = pd.DataFrame(found, columns=[*chunk, "timer"])
-        return out.assign(timer=pd.to_datetime(out["timer"]))
-
-    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        at, timer, found = times(pdf), pdf["timer"].iloc[0], []
-        i = 0 if pd.isna(timer) else int(np.searchsorted(at, np.datetime64(timer), "right"))
-        while i < len(at):
-            found.append(at[i])
-            i = int(np.searchsorted(at, at[i] + wait, "right"))
-        return repeated(pdf, group, len(found)).assign(start_ts=np.array(found, "datetime64[us]"))
-
-    steps = rows.groupBy(*chunk).applyInPandas(transitions, _schema(rows, chunk, "before", "then"))
-    timers = reliable(steps.groupBy(*group).applyInPandas(chain, _schema(rows, chunk, "timer")))
-    timers, same = _lookup(timers, chunk)
-    timed = rows.join(small(timers), same).select(*rows.columns, "timer")
-    return timed.groupBy(*chunk).applyInPandas(starts, _schema(rows, group, "start_ts"))
+    times = rows.where("not __fall").select(*group, "__at").distinct()
+    marks = times.select(*group, F.col("__at").alias("__t"), F.lit(0).alias("__deadline")).unionByName(
+        times.select(*group, (F.col("__at") + interval(hold)).alias("__t"), F.lit(1).alias("__deadline")))
+    seen = ordered(marks, group, ["__t", "__deadline"], max_rows).running(
+        {"__next": latest(F.when(F.col("__deadline") == 0, F.col("__t")))}, reverse=True, exclusive=True)
+    hops = reliable(seen.to_df().where("__deadline = 1 and __next is not null").select(
+        *group, (F.col("__t") - interval(hold)).alias("__at"), "__next"))
+    reached = reliable(times.groupBy(*group).agg(F.min("__at").alias("__at")))
+    known = reached.count()
+    while True:
+        onward, same = _lookup(hops, [*group, "__at"])
+        further = reached.join(onward, same).select(*group, F.col("__next").alias("__at"))
+        reached = reliable(reached.unionByName(further).distinct())
+        before, known = known, reached.count()
+        if known == before:
+            return reached.withColumnRenamed("__at", "start_ts")
+        onward = onward.withColumnRenamed("__next", "__then")
+        keys = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(group)] + [F.col("__next") == F.col(f"__k{len(group)}")]
+        hops = reliable(hops.join(onward, reduce(Column.__and__, keys)).select(*group, "__at", F.col("__then").alias("__next")))
 
 
 def _schema(df: DataFrame, columns: Sequence[str], *times: str) -> str:
