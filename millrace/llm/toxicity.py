@@ -162,17 +162,19 @@ class TextCNN:
             self.tables[t][hit] -= step(0, (t, hit), total)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows outside the held-out fold: doc_id, text, lang, toxic, calibrate. The calibration fold is an eighth and not trained on."""
+def marked(labels: DataFrame) -> DataFrame:
+    """Labelled ids outside the held-out fold: doc_id, toxic, calibrate. The calibration fold is an eighth of all and not trained on."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    marked = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return (docs.select("doc_id", "text", "lang").join(marked.hint("shuffle_hash"), "doc_id")
-            .filter(fold % 4 != 2).withColumn("calibrate", fold % 8 == 1))
+    one = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return one.filter(fold % 4 != 2).withColumn("calibrate", fold % 8 == 1)
 
 
-def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> bytes | None:
-    """The model's bytes, from at most ``per_class`` rows of either label, trained in one task. None when a label is missing."""
-    rows = rows.filter("not calibrate")
+def train(docs: DataFrame, labels: DataFrame, work: Workspace, per_class: int = SAMPLE_PER_CLASS) -> bytes | None:
+    """The model's bytes, from at most ``per_class`` rows of either label, trained in one task. None when a label is missing.
+
+    The sample is chosen among ids; only its texts are read, so no other text is moved.
+    """
+    rows = work.cut(marked(labels).filter("not calibrate").join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
     counts = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return None
@@ -180,19 +182,22 @@ def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> bytes | None:
     pick = lambda label: rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
 
     def fit(key, table):
-        order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
         body = [tokens(x or b"") for x in table.column("text").cast(pa.binary()).to_pylist()]
-        labels = table.column("toxic").to_numpy()
+        ids, labels = table.column("doc_id").to_pylist(), table.column("toxic").to_numpy()
+        order = sorted(range(len(body)), key=lambda i: (ids[i], len(body[i])))
         model = TextCNN().fit([body[i] for i in order], labels[order], share)
         return pa.table({"model": pa.array([model.dump()], pa.binary())})
 
-    sample = pick(0).select("doc_id", "text", "toxic").union(pick(1).select("doc_id", "text", "toxic"))
-    return sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, "model binary").first().model
+    sample = pick(0).union(pick(1)).select("doc_id", "toxic")  # a fixed number of ids, so small enough for every task
+    texts_ = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
+    model = texts_.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fit, "model binary").first().model
+    work.drop(rows)
+    return model
 
 
-def with_scores(docs: DataFrame, model: bytes | None, column: str) -> DataFrame:
-    """All columns of ``docs`` and the score of its whole text; 0 without a model."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def with_scores(docs: DataFrame, model: bytes | None, column: str, kept: list[str] | None = None) -> DataFrame:
+    """The ``kept`` columns of ``docs`` (all) and the score of its whole text; 0 without a model."""
+    shared, kept = docs.sparkSession.sparkContext.broadcast(model), kept or docs.columns
 
     def run(batches):
         cnn = TextCNN.load(shared.value) if shared.value else None
@@ -204,9 +209,9 @@ def with_scores(docs: DataFrame, model: bytes | None, column: str) -> DataFrame:
                 if cnn and (held > 200_000 or i == len(body) - 1):
                     got[first:i + 1] = cnn.scores(body[first:i + 1])
                     first, held = i + 1, 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], [*batch.schema.names, column])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(got)], [*kept, column])
 
-    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
+    schema = StructType([*(docs.schema[c] for c in kept), StructField(column, DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -228,19 +233,11 @@ def thresholds(scored: DataFrame) -> dict[str, float]:
     return found
 
 
-class Classifier:
-    """The trained model with a threshold for each language."""
-
-    def __init__(self, docs: DataFrame, labels: DataFrame, work: Workspace, per_class: int = SAMPLE_PER_CLASS):
-        rows = work.cut(training_rows(docs, labels), "labelled")
-        self.model = train(rows, per_class)
-        held = with_scores(rows.filter("calibrate").select("doc_id", "text", "lang", "toxic"), self.model, "score")
-        self.cuts = thresholds(held) if self.model else {}
-        work.drop(rows)
-
-    def cut_of(self, lang):
-        pairs = [F.lit(x) for item in sorted(self.cuts.items()) for x in item]
-        return F.coalesce(F.create_map(*pairs)[lang], F.lit(CUT)) if pairs else F.lit(CUT)
+def cut_of(scored: DataFrame, labels: DataFrame, score: str = "score"):
+    """The threshold of each row's language, from the scores of all calibration rows."""
+    known = scored.select("doc_id", "lang", F.col(score).alias("score")).join(marked(labels).filter("calibrate"), "doc_id")
+    pairs = [F.lit(x) for item in sorted(thresholds(known).items()) for x in item]
+    return F.coalesce(F.create_map(*pairs)[F.col("lang")], F.lit(CUT)) if pairs else F.lit(CUT)
 
 
 def classify(docs: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
@@ -250,18 +247,18 @@ def classify(docs: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
     are no labels, and of several labels of one id the largest counts. Without rows of both labels every score is 0. Repeated rows are
     scored each; an empty table gives no rows; other columns are not read.
     """
-    known = Classifier(docs, labels, work)
-    scored = with_scores(docs.select("doc_id", "text", "lang"), known.model, "score")
+    model = train(docs, labels, work)
+    scored = work.cut(with_scores(docs.select("doc_id", "text", "lang"), model, "score", ["doc_id", "lang"]), "scores")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= CUT).cast("int").alias("predicted"), known.cut_of(F.col("lang")).alias("threshold"),
-                         (F.col("score") >= known.cut_of(F.col("lang"))).alias("toxic"))
+    cut = cut_of(scored, labels)
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"),
+                         cut.alias("threshold"), (F.col("score") >= cut).alias("toxic"))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below the threshold of their language."""
-    known = Classifier(docs, labels, work)
     name = "_score"
     while name in docs.columns:
         name += "_"
-    return with_scores(docs, known.model, name).filter(F.col(name) < known.cut_of(F.col("lang"))).drop(name)
+    scored = work.cut(with_scores(docs, train(docs, labels, work), name), "scored")
+    return scored.filter(F.col(name) < cut_of(scored, labels, name)).drop(name)
