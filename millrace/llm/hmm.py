@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import texts
+from millrace.llm.words import mixed, texts, word_hashes
 from millrace.llm.workspace import Workspace
 
 #: States, and word classes that they emit: hashed buckets, one class of rare words, and the end of the text. These bound the model.
@@ -20,7 +18,7 @@ ROUNDS = 4
 PIECE = 256
 ALPHA = 0.1
 #: Bytes of text whose tokens share one dictionary, and so bound a task.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 48 << 20
 SLICES = 16
 
 
@@ -29,18 +27,47 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """word, chunk, training tokens: one row for each word and chunk of documents; a batch is folded before rows are made."""
+    """h (a word's hash), chunk, n (training tokens), held (a held-out text of the chunk has the word).
+
+    A batch is folded before rows are made. Words go by 64-bit hashes from here on: of 10^8 words about one in a billion shares one.
+    """
     def run(batches):
         for batch in batches:
-            found: dict[int, tuple[Counter, Counter]] = {}
+            found: dict[int, tuple[list, list]] = {}
             for text, chunk, held in zip(texts(batch), batch.column("chunk").to_pylist(), batch.column("held_out").to_pylist()):
-                found.setdefault(chunk, (Counter(), Counter()))[bool(held)].update(tokens(text))
+                found.setdefault(chunk, ([], []))[held].append(word_hashes(tokens(text)).view(np.int64))
             for chunk, (seen, other) in found.items():
-                words = list(seen.keys() | other.keys())
+                h, n = np.unique(np.concatenate(seen or [NONE]), return_counts=True)
+                extra = np.unique(np.concatenate(other or [NONE]))
+                also = np.isin(h, extra, assume_unique=True)
+                extra = np.setdiff1d(extra, h, assume_unique=True)
+                size = len(h) + len(extra)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(words), pa.int64()), pa.array(words, pa.binary()), pa.array([seen[w] for w in words], pa.int64())],
-                    ["chunk", "word", "n"])
-    return docs.mapInArrow(run, "chunk bigint, word binary, n bigint")
+                    [pa.array(np.concatenate([h, extra])), pa.array(np.full(size, chunk), pa.int32()),
+                     pa.array(np.concatenate([n, np.zeros(len(extra), np.int64)])), pa.array(np.concatenate([also, np.ones(len(extra), bool)]))],
+                    ["h", "chunk", "n", "held"])
+    return docs.mapInArrow(run, "h bigint, chunk int, n bigint, held boolean")
+
+
+NONE = np.empty(0, np.int64)
+
+
+def bucket_of(h: np.ndarray) -> np.ndarray:
+    return (mixed(h.view(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def bucket_masses(words: DataFrame) -> np.ndarray:
+    """Training tokens of each bucket, from words (h, c) with c > 1."""
+    def run(batches):
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            total += np.bincount(bucket_of(batch.column("h").to_numpy()), batch.column("c").to_numpy(), BUCKETS).astype(np.int64)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], ["bucket", "c"])
+    out = np.zeros(BUCKETS, np.int64)
+    for r in words.mapInArrow(run, "bucket int, c bigint").groupBy("bucket").agg(F.sum("c").alias("c")).collect():  # one row for each bucket
+        out[r.bucket] = r.c
+    return out
 
 
 class Shared:
@@ -53,30 +80,32 @@ class Shared:
         self.unseen = (once + 1) / (once + 2 * twice + 2) if once or twice else 1.0
 
 
-def encoded(docs: DataFrame, dictionary: DataFrame, shared: Shared, work: Workspace) -> DataFrame:
+def encoded(docs: DataFrame, dictionary: DataFrame, shared: Shared, mass: np.ndarray) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, base_score, within (log10 of words given their classes), classes (two bytes a token).
 
     A word that training has twice or more is in the bucket of its hash, with its share of the bucket's tokens; rarer words are one class.
-    Documents and the dictionary meet by chunk, so a task holds one chunk of texts and the words in it.
+    Documents and the dictionary meet by chunk, so a task holds one chunk of texts and the words in it. The dictionary leaves out
+    words that occur once, in a training text: there a missing word has count 1, in a held-out text 0.
     """
-    n, v, know = shared.train_tokens, shared.distinct, shared
+    total = np.log10(shared.train_tokens + ALPHA * (shared.distinct + 1))
+    once, never = np.log10(max(1 - shared.unseen, 1e-300) / max(shared.once, 1)), np.log10(shared.unseen)
+    ends = shared.texts
 
     def run(key, table, words):
-        total = np.log10(n + ALPHA * (v + 1))
-        names, counts, mass = words.column("word").to_pylist(), words.column("c").to_numpy(), words.column("mass").to_numpy()
-        rare = counts < 2
-        classes = np.where(rare, RARE, words.column("bucket").to_numpy()).astype(np.uint16)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            within = np.where(rare, np.where(counts == 1, np.log10((1 - know.unseen) / max(know.once, 1)), np.log10(know.unseen)), np.log10(counts / mass))
-        base = np.log10(counts + ALPHA) - total
-        known = counts > 0
-        number = {w: i for i, w in enumerate(names)}
-        end = np.log10(know.texts + ALPHA) - total
+        h, c = words.column("h").to_numpy(), words.column("c").to_numpy()
+        order = np.argsort(h)
+        h, c = np.append(h[order], 0), np.append(c[order], 0)  # one more, that no search ends on by accident
         rows = []
-        for text in texts(table.combine_chunks()):
-            ids = np.fromiter(map(number.__getitem__, t := tokens(text)), np.int64, len(text.split()))
-            rows.append((len(t) + 1, int(known[ids].sum()) + int(know.texts > 0), float(base[ids].sum() + end), float(within[ids].sum()),
-                         np.append(classes[ids], np.uint16(END)).tobytes()))
+        for text, held in zip(texts(table.combine_chunks()), table.column("held_out").to_pylist()):
+            own = word_hashes(tokens(text)).view(np.int64)
+            at = np.searchsorted(h[:-1], own)
+            count = np.where((h[at] == own) & (at < len(h) - 1), c[at], 0 if held else 1)
+            bucket = bucket_of(own)
+            rare = count < 2
+            within = np.where(rare, np.where(count == 1, once, never), np.log10(np.maximum(count, 1) / np.maximum(mass[bucket], 1)))
+            base = np.log10(count + ALPHA).sum() + np.log10(ends + ALPHA) - (len(own) + 1) * total
+            rows.append((len(own) + 1, int((count > 0).sum()) + int(ends > 0), float(base), float(within.sum()),
+                         np.append(np.where(rare, RARE, bucket), END).astype(np.uint16).tobytes()))
         cols = list(zip(*rows)) or [[]] * 5
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
         return pa.Table.from_arrays([table.column("doc_id"), table.column("held_out"), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
@@ -213,23 +242,23 @@ def score(docs: DataFrame, work: Workspace, rounds: int = ROUNDS, chunk_bytes: i
     size = plain.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")).first()
     chunks = max(1, -(-(size["bytes"] or 0) // chunk_bytes))
     # a rest of each document's hash decides its chunk, so all chunks have the same mix
-    plain = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)))
-    held = work.cut(counted(plain), "counted")
-    words = held.groupBy("word").agg(F.sum("n").alias("c"))
-    words = work.cut(words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")), "words")
-    stats = words.agg(F.sum("c"), *(F.count_if(x) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2))).first()
+    plain = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)).cast("int"))
+    # one shuffle gives each word's count and the chunks that need it; a word has one row for each chunk at most
+    by_word = Window.partitionBy("h")
+    cells = counted(plain).repartition("h").groupBy("h", "chunk").agg(F.sum("n").alias("n"), F.max("held").alias("held"))
+    words = work.cut(cells.select("h", "chunk", "held", F.sum("n").over(by_word).alias("c"), (F.col("chunk") == F.min("chunk").over(by_word)).alias("first")), "words")
+    each = words.filter("first and c > 0")
+    stats = each.agg(F.sum("c"), F.count("*"), *(F.count_if(F.col("c") == x) for x in (1, 2))).first()
     ends = size["texts"]
     shared = Shared((stats[0] or 0) + ends, stats[1] + (ends > 0), stats[2], stats[3], ends)
-    mass = words.filter("c > 1").groupBy("bucket").agg(F.sum("c").alias("mass"))
-    rows = {r.bucket: r.mass for r in mass.collect()}  # one row for each of the fixed number of buckets
+    mass = bucket_masses(each.filter("c > 1").select("h", "c"))
     frequency = np.zeros(CLASSES)
-    frequency[list(rows)] = list(rows.values())
+    frequency[:BUCKETS] = mass
     frequency[RARE], frequency[END] = max(shared.once, 1), max(ends, 1)
     frequency = (frequency + 1e-6) / (frequency + 1e-6).sum()
-    known = words.join(mass.hint("broadcast"), "bucket", "left").select("word", "c", "bucket", F.coalesce("mass", F.lit(1)).alias("mass"))
-    dictionary = held.select("chunk", "word").distinct().join(known, "word")
-    table = work.cut(encoded(plain, dictionary, shared, work), "encoded")
-    work.drop(held, words)
+    dictionary = words.filter("c > 1 or (c = 1 and held)").select("chunk", "h", "c")
+    table = work.cut(encoded(plain, dictionary, shared, mass), "encoded")
+    work.drop(words)
     model, training = HMM.first(frequency), table.filter("not held_out")
     fan = int(np.sqrt(table.rdd.getNumPartitions())) + 1
     for _ in range(rounds if ends else 0):
