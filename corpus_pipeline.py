@@ -20,9 +20,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicate(docs, exact.fresh_index(spark, work), work)
 
 
+#: Similarity from which the pipeline takes two texts for near-duplicates; op8's contract has its own.
+NEAR_PERCENT = 80
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the one with the smallest id."""
-    return neardup.one_of_each(docs, Workspace(spark, "neardup"))
+    """Of each group of near-duplicates (similarity 0.8 or more) the one with the smallest id."""
+    return neardup.one_of_each(docs, Workspace(spark, "neardup"), percent=NEAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +16,32 @@ from millrace.llm.workspace import Workspace
 
 SHINGLE = 5
 PERCENT = 85
-#: 24 bands of 5 coordinates: two sets with a Jaccard similarity of 0.85 share no band once in a million times.
-BANDS, ROWS = 24, 5
-#: Of pairs with a similarity of 0.85, a few in a million agree in fewer coordinates than this.
-LEAST_AGREEING = 84
+COORDINATES = 120
+#: How often a pair at exactly the wanted similarity may share no band, or agree in too few coordinates.
+NO_BAND, TOO_FEW = 1e-6, 1e-5
 #: Members up to which a bucket's pairs are listed, and members of one block of a hot group.
 LISTED, BLOCK = 64, 256
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and coordinates of each: the longest bands (fewest chance meetings) of which pairs at ``percent`` share one but for NO_BAND."""
+    s = percent / 100
+    for rows in range(8, 0, -1):
+        if (1 - s ** rows) ** (COORDINATES // rows) <= NO_BAND:
+            return COORDINATES // rows, rows
+    return math.ceil(math.log(NO_BAND) / math.log(1 - s)), 1
+
+
+def least_agreeing(percent: int, size: int) -> int:
+    """The most coordinates of ``size`` in which all pairs at ``percent`` agree but for TOO_FEW (binomial)."""
+    s, below = percent / 100, 0.0
+    for k in range(size + 1):
+        below += math.comb(size, k) * s ** k * (1 - s) ** (size - k)
+        if below > TOO_FEW:
+            return k
+    return size
+
+
 def shingles(text: bytes, n: int = SHINGLE) -> np.ndarray:
     """The sorted distinct hashes of all runs of ``n`` lower-cased words; of the whole sequence where there are fewer; empty without words."""
     words = text.lower().split()
@@ -183,7 +202,7 @@ def links_of_hot_groups(members: DataFrame, sides: DataFrame, bodies: DataFrame,
     return keyed.groupBy("label", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an id count as one document, whose largest text
@@ -191,8 +210,9 @@ def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, sh
 
     Texts with equal sets form a class and its smallest id stands for it. Representatives meet in buckets (band and its key). A small
     bucket lists its pairs; larger ones go the way of `links_of_hot_groups`. Either way no link between two classes' components is lost
-    but for the chance that sketches miss it (see BANDS and LEAST_AGREEING), and full sets confirm every link.
+    but for the chance that sketches miss it (see `banding` and `least_agreeing`), and full sets confirm every link.
     """
+    bands, rows = banding(percent)
     plain = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
     known = plain.filter("doc_id is not null")
     sets = work.cut(signed(plain, bands, rows, shingle), "sets")
@@ -206,7 +226,7 @@ def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, sh
     sides = work.cut(heads.select("id", "n_shingles", "marks").join(members.select("id").distinct(), "id", "left_semi"), "sides")
     bodies = work.cut(known.join(sides.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi"), "bodies")
     bodies = bodies.dropDuplicates(["doc_id"]) if repeated_ids(bodies) else bodies
-    least = LEAST_AGREEING * bands * rows // (BANDS * ROWS)
+    least = least_agreeing(percent, bands * rows)
     small, large = members.filter(F.col("n") <= LISTED), work.cut(members.filter(F.col("n") > LISTED).drop("n"), "large")
     met = (small.select("band", "key", F.col("id").alias("a")).join(small.select("band", "key", F.col("id").alias("b")), ["band", "key"])
            .filter("a < b").select("a", "b").distinct())
