@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -20,8 +21,11 @@ from millrace.llm.workspace import Workspace
 TERMS, RANK, RESIDUAL, SLICES = 1 << 14, 32, 48, 64
 LATENT_WEIGHT = 0.5  # of a term's latent coordinates against those of its residual
 PASSAGE = 32  # words of a passage that the decomposition sees
-STEP, LENGTHS = 8, (16, 24, 32, 40, 48, 56, 64)  # windows that are searched: starts and words
-COSINE = 0.5
+STEP, LENGTHS = 8, (8, 16, 24, 32, 40, 48, 56, 64)  # windows that are searched: starts and words
+#: Least cosine of a window with a passage as long as itself; it falls with the square root of the passage's share of the window.
+COSINE = 0.2
+#: Passages of so many words and fewer meet every window, since one word of eight says little in a cosine; up to LONG the least cosine rises.
+SHORT, LONG = 4, 16
 #: A window counts as a copy of an item with so much of it in common order, or with less when the answer is there too.
 SAME, PARAPHRASE, ANSWER = 0.75, 0.55, 0.8
 #: Items whose vectors are broadcast at once; a larger benchmark is searched block by block.
@@ -202,6 +206,21 @@ def answer_of(text: bytes) -> list[bytes]:
     return sentence if len(sentence) >= 5 else plain_words(text)[-5:]
 
 
+def least_cosine(words: int, length: int) -> float:
+    """From which cosine a window of ``length`` words proposes a passage of so many words."""
+    return -1.0 if words <= SHORT else COSINE * min(1, words / LONG) * math.sqrt(words / length)
+
+
+def common_words(near: np.ndarray, n: int) -> np.ndarray:
+    """`longest_common` of many rows at once, for passages of ``n`` <= 64 words: each row has the places in the passage of its words, as bits."""
+    full = np.uint64((1 << n) - 1)
+    v = np.full(len(near), full)
+    for u in near.T:
+        u = u & v
+        v = ((v + u) | (v - u)) & full
+    return n - np.bitwise_count(v).astype(np.int64)
+
+
 class Items:
     """Benchmark items: word sequences for the checks and, for each searched length, unit vectors of their passages."""
 
@@ -224,11 +243,13 @@ class Items:
                 piece = terms([words[i] for i in part])
                 v = term_map[piece].sum(0)
                 length = next(n for n in LENGTHS if n >= len(part))
-                vectors[length].append((len(self.ids) - 1, int(part[0]), v / max(np.linalg.norm(v), 1e-12)))
-        self.queries = {n: (np.array([(i, at) for i, at, _ in vs]), np.array([v for *_, v in vs], np.float32)) for n, vs in vectors.items() if vs}
+                vectors[length].append((len(self.ids) - 1, int(part[0]), v / max(np.linalg.norm(v), 1e-12), piece))
+        self.queries = {n: ([(i, at, piece) for i, at, _, piece in vs], np.array([v for _, _, v, _ in vs], np.float32),
+                            np.array([least_cosine(len(piece), n) for *_, piece in vs], np.float32)) for n, vs in vectors.items() if vs}
 
     def search(self, docs: list[np.ndarray]):
-        """(document, item, cosine, first word, first word of the item's passage) of windows whose cosine with a passage reaches COSINE.
+        """(document, item, cosine, first word, first word of the item's passage) of windows whose cosine with a passage is high enough and
+        which, with their surroundings, hold enough of its terms in common order. Terms are hashed words, so none with enough words is left out.
 
         ``docs``: terms. All windows of one length meet all passages of that length in one product.
         """
@@ -238,18 +259,40 @@ class Items:
         blocks = row_sums(index, self.space_map)
         n = len(blocks) - longest + 1
         windows, real = blocks[:n].copy(), index[:n, 0] < TERMS
-        for span in range(2, longest + 1):
-            windows += blocks[span - 1:span - 1 + n]
-            where, queries = self.queries.get(span * STEP, (None, None))
+        gap = np.full((longest, STEP), TERMS, np.int64)
+        flat = np.concatenate([gap, index, gap])
+        at = np.zeros(TERMS + 1, np.uint64)  # of the passage in hand, a bit for each place of a term
+        for span in range(1, longest + 1):
+            if span > 1:
+                windows += blocks[span - 1:span - 1 + n]
+            where, queries, least = self.queries.get(span * STEP, (None, None, None))
             if where is None:
                 continue
             norms = np.sqrt(np.einsum("ij,ij->i", windows, windows))
+            norms = np.maximum(norms, 1e-12)
             for low in range(0, len(queries), 1024):
-                cosines = windows @ queries[low:low + 1024].T
-                hit = np.flatnonzero((cosines.max(1) >= COSINE * norms) & real)
-                for w, q in zip(*np.nonzero(cosines[hit] >= COSINE * norms[hit][:, None])):
-                    w, (item, offset) = hit[w], where[low + q]
-                    yield int(owner[w]), int(item), float(cosines[w, q] / norms[w]), int(w - first[owner[w]]) * STEP, int(offset)
+                cosines = queries[low:low + 1024] @ windows.T
+                for q, row in enumerate(cosines, low):
+                    item, offset, piece = where[q]
+                    hit = np.flatnonzero((row >= least[q] * norms) & real)
+                    if not len(hit):
+                        continue
+                    m = len(piece)
+                    need = math.ceil(PARAPHRASE * m - 1e-9)
+                    at[piece] = 0
+                    np.bitwise_or.at(at, piece, np.uint64(1) << np.arange(m, dtype=np.uint64))
+                    before, after = -(-(m // 4 + STEP) // STEP), -(-(m + m // 4 + STEP) // STEP)  # in blocks
+                    placed = at[flat]
+                    held = placed[:, 0] | placed[:, 1]
+                    for k in range(2, STEP):
+                        held |= placed[:, k]
+                    near = sliding_window_view(held, before + after)[hit + (len(gap) - before)]
+                    good = hit[np.bitwise_count(np.bitwise_or.reduce(near, 1)) >= need]  # in any order
+                    for some in np.array_split(good, len(good) // 20_000 + 1):
+                        near = placed[some[:, None] + np.arange(len(gap) - before, len(gap) + after)].reshape(len(some), (before + after) * STEP)
+                        for w in some[common_words(near, m) >= need]:
+                            yield int(owner[w]), item, float(row[w] / norms[w]), int(w - first[owner[w]]) * STEP, offset
+                    at[piece] = 0
 
     def matches(self, words: list[list[bytes]]) -> list[dict[int, tuple]]:
         """For each text, by item_id: (share of the item in common order, share of the answer, cosine, first word of the window)."""

@@ -233,3 +233,37 @@ def test_contamination_edges(spark, work):
     assert latent.contaminated(cases.empty(spark), bench, work).collect() == []
     left = latent.decontaminate(docs, bench, work)
     assert left.columns == docs.columns and {3, 4, 5, 6, 9} <= {r.doc_id for r in left.collect()}
+
+
+def test_search_proposes_paraphrases_and_short_items():
+    """Against the common subsequence of the planted place: shares 0.55-1, items of 1 to 200 words, at any offset."""
+    rng = random.Random(5)
+    vocabulary = [b"".join(rng.choice([b"ka", b"lo", b"mi", b"ru", b"te", b"so"]) for _ in range(4)) for _ in range(3000)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    term_map = np.random.default_rng(2).normal(size=(latent.TERMS, latent.RANK + latent.RESIDUAL)).astype(np.float32)
+    rows, docs, want = [], [], []
+    for n in (1, 2, 3, 4, 5, 7, 9, 12, 16, 17, 25, 33, 48, 64, 100, 200):
+        for _ in range(8):
+            words, item = some(n), len(rows)
+            rows.append((item, b" ".join(words[:-5]) + b". " + b" ".join(words[-5:]) if n > 9 else b" ".join(words)))
+            for share in (1,) if n < 10 else (0.56, 0.6, 0.7, 0.8, 1):
+                copy = list(words)
+                for k in rng.sample(range(n - 5), round(n * (1 - share))) if share < 1 else ():
+                    copy[k] = b"other%d" % rng.randrange(10 ** 6)
+                common = latent.longest_common(latent.positions(words), n, copy)
+                if share == 1 or common >= latent.PARAPHRASE * n:
+                    docs.append([*some(rng.randrange(60)), *copy, *some(rng.randrange(60))])
+                    want.append(item)
+    found = latent.Items(rows, term_map).matches(docs)
+    lost = [i for i, f in zip(want, found) if i not in f]
+    assert len(want) > 400 and len(lost) <= 0.01 * len(want)
+
+
+def test_common_words_of_many_rows():
+    rng = np.random.default_rng(4)
+    for n in (1, 7, 63, 64):
+        item = [b"%d" % x for x in rng.integers(0, 20, n)]
+        places = latent.positions(item)
+        rows = [[b"%d" % x for x in rng.integers(0, 25, 90)] for _ in range(40)]
+        near = np.array([[places.get(w, 0) for w in r] for r in rows], np.uint64)
+        assert latent.common_words(near, n).tolist() == [latent.longest_common(places, n, r) for r in rows]
