@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -28,6 +27,12 @@ COSINE = 0.2
 SHORT, LONG = 4, 16
 #: A window counts as a copy of an item with so much of it in common order, or with less when the answer is there too.
 SAME, PARAPHRASE, ANSWER = 0.75, 0.55, 0.8
+#: Or with a run of its words, one after the other: half of them, at least RUNS[0] (all of a shorter item) and at most RUNS[1].
+RUNS = (13, 32)
+#: An item over LENGTHS[-1] words has passages of that length that start so far apart, so any run of RUNS[1] words lies whole in one.
+PART_STEP = LENGTHS[-1] - RUNS[1]
+#: The least share of a passage in common order with which a window can match in any of these ways.
+LEAST_SHARE = 0.5
 #: Items whose vectors are broadcast at once; a larger benchmark is searched block by block.
 BLOCK_ITEMS = 20_000
 PLAIN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\"'()[]{}<>*_-", bytes(range(97, 123)) + b" " * 19)
@@ -221,11 +226,25 @@ def common_words(near: np.ndarray, n: int) -> np.ndarray:
     return n - np.bitwise_count(v).astype(np.int64)
 
 
+def needed_run(n: int) -> int:
+    return min(n, max(RUNS[0], min(RUNS[1], -(-n // 2))))
+
+
+def passages(n: int) -> list[tuple[int, int]]:
+    """Start and end of the passages of an item of ``n`` words: whole, or LENGTHS[-1] words each. To those come equal parts side by side, of
+    which one has its share when the item has."""
+    longest = LENGTHS[-1]
+    if n <= longest:
+        return [(0, n)]
+    cuts = [round(n * k / -(-n // longest)) for k in range(-(-n // longest) + 1)]
+    return sorted({*zip(cuts, cuts[1:]), *((min(a, n - longest), min(a, n - longest) + longest) for a in range(0, n - RUNS[1], PART_STEP))})
+
+
 class Items:
     """Benchmark items: word sequences for the checks and, for each searched length, unit vectors of their passages."""
 
     def __init__(self, rows: list[tuple[int, bytes]], term_map: np.ndarray):
-        self.ids, self.words, self.counts, self.bits, self.answers = [], [], [], [], []
+        self.ids, self.words, self.bits, self.answers, self.runs = [], [], [], [], []
         self.space_map = with_zero(term_map)
         vectors: dict[int, list] = {n: [] for n in LENGTHS}
         for item_id, text in rows:
@@ -234,21 +253,21 @@ class Items:
                 continue
             self.ids.append(item_id)
             self.words.append(len(words))
-            self.counts.append(Counter(words))
             self.bits.append(positions(words))
             answer = answer_of(text)
             self.answers.append((len(answer), positions(answer)))
-            parts = max(1, -(-len(words) // LENGTHS[-1]))
-            for part in np.array_split(np.arange(len(words)), parts):
-                piece = terms([words[i] for i in part])
+            size = needed_run(len(words))
+            self.runs.append((size, {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}))
+            for a, b in passages(len(words)):
+                piece = terms(words[a:b])
                 v = term_map[piece].sum(0)
-                length = next(n for n in LENGTHS if n >= len(part))
-                vectors[length].append((len(self.ids) - 1, int(part[0]), v / max(np.linalg.norm(v), 1e-12), piece))
+                length = next(n for n in LENGTHS if n >= b - a)
+                vectors[length].append((len(self.ids) - 1, a, v / max(np.linalg.norm(v), 1e-12), piece))
         self.queries = {n: ([(i, at, piece) for i, at, _, piece in vs], np.array([v for _, _, v, _ in vs], np.float32),
                             np.array([least_cosine(len(piece), n) for *_, piece in vs], np.float32)) for n, vs in vectors.items() if vs}
 
     def search(self, docs: list[np.ndarray]):
-        """(document, item, cosine, first word, first word of the item's passage) of windows whose cosine with a passage is high enough and
+        """(document, item, cosine, first word, first word of the item's passage, its length) of windows whose cosine with a passage is high enough and
         which, with their surroundings, hold enough of its terms in common order. Terms are hashed words, so none with enough words is left out.
 
         ``docs``: terms. All windows of one length meet all passages of that length in one product.
@@ -278,7 +297,7 @@ class Items:
                     if not len(hit):
                         continue
                     m = len(piece)
-                    need = math.ceil(PARAPHRASE * m - 1e-9)
+                    need = math.ceil(LEAST_SHARE * m)
                     at[piece] = 0
                     np.bitwise_or.at(at, piece, np.uint64(1) << np.arange(m, dtype=np.uint64))
                     before, after = -(-(m // 4 + STEP) // STEP), -(-(m + m // 4 + STEP) // STEP)  # in blocks
@@ -291,29 +310,34 @@ class Items:
                     for some in np.array_split(good, len(good) // 20_000 + 1):
                         near = placed[some[:, None] + np.arange(len(gap) - before, len(gap) + after)].reshape(len(some), (before + after) * STEP)
                         for w in some[common_words(near, m) >= need]:
-                            yield int(owner[w]), item, float(row[w] / norms[w]), int(w - first[owner[w]]) * STEP, offset
+                            yield int(owner[w]), item, float(row[w] / norms[w]), int(w - first[owner[w]]) * STEP, offset, m
                     at[piece] = 0
 
+    def quoted(self, i: int, offset: int, m: int, words: list[bytes], start: int) -> bool:
+        """Whether the words around a window hold a needed run of the item, or the passage at ``offset`` of a long item in common order."""
+        near = words[max(0, start - m // 4 - 2 * STEP):start + m + m // 4 + 2 * STEP]
+        size, runs = self.runs[i]
+        if any(tuple(near[k:k + size]) in runs for k in range(len(near) - size + 1)):
+            return True
+        if m < LENGTHS[-1] or self.words[i] == m:
+            return False
+        full = (1 << m) - 1
+        part = {w: x >> offset & full for w, x in self.bits[i].items()}
+        return longest_common(part, m, near) >= SAME * m
+
     def matches(self, words: list[list[bytes]]) -> list[dict[int, tuple]]:
         """For each text, by item_id: (share of the item in common order, share of the answer, cosine, first word of the window)."""
         found: list[dict[int, tuple]] = [{} for _ in words]
-        tried = set()
-        for d, i, cosine, start, offset in self.search([terms(w) for w in words]):
-            n, counts = self.words[i], self.counts[i]
+        for d, i, cosine, start, offset, m in self.search([terms(w) for w in words]):
+            n = self.words[i]
             low = max(0, start - offset - n // 4 - STEP)
-            if (d, i, low) in tried:
-                continue
-            tried.add((d, i, low))
-            region = words[d][low:start - offset + n + n // 4 + 2 * STEP]
-            if sum(counts[w] for w in counts.keys() & set(region)) < PARAPHRASE * n:  # no order can reach the share
-                continue
+            region = words[d][low:max(0, start - offset + n + n // 4 + 2 * STEP)]
             share = longest_common(self.bits[i], n, region) / n
-            if share < PARAPHRASE:
-                continue
             size, bits = self.answers[i]
             answer = longest_common(bits, size, region) / size
-            if (share >= SAME or answer >= ANSWER) and share > found[d].get(self.ids[i], (0,))[0]:
-                found[d][self.ids[i]] = (share, answer, cosine, start)
+            if share >= SAME or (share >= PARAPHRASE and answer >= ANSWER) or self.quoted(i, offset, m, words[d], start):
+                if share > found[d].get(self.ids[i], (-1,))[0]:
+                    found[d][self.ids[i]] = (share, answer, cosine, start)
         return found
 
 
@@ -333,7 +357,8 @@ def item_blocks(benchmark: DataFrame, space: LatentSpace, block: int):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, block: int = BLOCK_ITEMS) -> DataFrame:
-    """One row per document and benchmark item found in it: doc_id, item_id, lcs, answer, cosine, first_word (of the best window).
+    """One row per document and benchmark item found in it, whole or in part: doc_id, item_id, lcs (of the whole item), answer, cosine,
+    first_word (of the best window).
 
     Every window of every whole text meets every item. Null and empty texts and items without words match nothing; items that repeat an id
     count as one; rows that repeat a doc_id give a row each; either table empty: no rows; other columns are not read.

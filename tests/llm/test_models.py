@@ -267,3 +267,29 @@ def test_common_words_of_many_rows():
         rows = [[b"%d" % x for x in rng.integers(0, 25, 90)] for _ in range(40)]
         near = np.array([[places.get(w, 0) for w in r] for r in rows], np.uint64)
         assert latent.common_words(near, n).tolist() == [latent.longest_common(places, n, r) for r in rows]
+
+
+def test_partial_passages_and_long_items():
+    """Runs of an item's words and passages of long items count, wherever they lie; shorter quotes don't."""
+    rng = random.Random(6)
+    vocabulary = [b"".join(rng.choice([b"ka", b"lo", b"mi", b"ru", b"te", b"so"]) for _ in range(4)) for _ in range(3000)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    term_map = np.random.default_rng(2).normal(size=(latent.TERMS, latent.RANK + latent.RESIDUAL)).astype(np.float32)
+    items = [some(n) for n in (20, 27, 40, 64, 65, 90, 130, 200)]
+    docs, want = [], []
+    for i, words in enumerate(items):
+        n = len(words)
+        runs = [latent.needed_run(n), latent.needed_run(n) - 4, *([round(0.7 * n)] if n > 20 else []), *([100] if n > 100 else [])]
+        for size in runs:
+            for first in {0, rng.randrange(n - size + 1), n // 3, n - size}:
+                if first + size <= n:
+                    docs.append([*some(rng.randrange(30, 90)), *words[first:first + size], *some(rng.randrange(30, 90))])
+                    want.append(i if size >= latent.needed_run(n) else None)
+    for first in (0, 32, 64, 136):  # a passage with every eighth word changed: no long run
+        docs.append([*some(40), *[w if k % 8 else b"changed" for k, w in enumerate(items[7][first:first + 64])], *some(40)])
+        want.append(7)
+    found = latent.Items([(i, b" ".join(w)) for i, w in enumerate(items)], term_map).matches(docs)
+    assert [set(f) for f in found] == [set() if w is None else {w} for w in want] and None in want
+    assert [latent.passages(n) for n in (5, 64, 65)] == [[(0, 5)], [(0, 64)], [(0, 32), (0, 64), (1, 65), (32, 65)]]
+    for n in range(65, 300):  # any run of the longest needed length lies in one passage
+        assert all(any(a <= k and k + latent.RUNS[1] <= b for a, b in latent.passages(n)) for k in range(n - latent.RUNS[1] + 1))
