@@ -25,10 +25,14 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: An open element of the key ends when one of the others starts.
 CLOSES = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
-RAW = re.compile(r"(?is)<(script|style|title|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)")
+#: Content of these is no markup; it ends at the end tag, and where that is missing only the start tag is left out.
+RAW = {tag: re.compile(rf"(?i)</{tag}(?=[\s/>])[^>]*>") for tag in ("script", "style", "title", "textarea")}
 TOKEN = re.compile(r"""(?s)<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+#: A '<' that starts a tag or comment which the page's end cuts off.
+CUT = re.compile(r"<(?:[A-Za-z/!?]|\Z)")
 ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:\s|=|$|/)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
+NAMED_VALUE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+HIDING_STYLE = re.compile(r"(?i)(?:^|[;\s])display\s*:\s*none")
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[a-z]+")
 
@@ -40,6 +44,15 @@ class Block:
         self.text, self.path, self.marks, self.linked = text, path, marks, linked
 
 
+def hides(attributes: str) -> bool:
+    """Whether an attribute of its own hides the element: hidden, a style without display, or aria-hidden."""
+    for name, *values in NAMED_VALUE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" or (name == "style" and HIDING_STYLE.search(value)) or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order: their text, the tags above them, words of class, id and role above them, characters in links."""
     out: list[Block] = []
@@ -61,13 +74,21 @@ def blocks(page: str) -> list[Block]:
                 state["links"] += len(text)
 
     at = 0
-    page = RAW.sub(lambda m: " ", page)
-    for m in TOKEN.finditer(page):
+    unclosed = set()
+    while m := TOKEN.search(page, at):
         say(page[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
+        if tag in RAW:
+            end = None if m[1] or tag in unclosed else RAW[tag].search(page, at)
+            if end:
+                at = end.end()
+            elif not m[1]:
+                unclosed.add(tag)
+            say(" ")
+            continue
         if tag == "br":
             say(" ")
             continue
@@ -86,10 +107,11 @@ def blocks(page: str) -> list[Block]:
             del stack[last:]
         if tag not in VOID and not m[3].rstrip().endswith("/"):
             marks = tuple(w for a in ATTRIBUTE.findall(m[3]) for w in WORD.findall((a[1] or a[2] or a[3]).lower())) if m[3] else ()
-            silent = tag in SILENT or bool(m[3] and HIDDEN.search(m[3]))
+            silent = tag in SILENT or bool(m[3] and hides(m[3]))
             stack.append((tag, marks, silent))
     tail = page[at:]
-    say(tail if "<" not in tail else tail[:tail.index("<")])
+    cut = CUT.search(tail)
+    say(tail[:cut.start()] if cut else tail)
     flush()
     return out
 

@@ -155,6 +155,16 @@ def test_blocks_of_broken_markup():
     assert crf.blocks("") == [] and crf.blocks("  \n") == [] and [b.text for b in crf.blocks("just text")] == ["just text"]
 
 
+def test_blocks_drop_nothing_else():
+    texts = lambda page: [b.text for b in crf.blocks(page)]
+    for tag in ("style", "script", "title", "textarea"):
+        assert texts(f"<!-- old <{tag}> block --><article><p>Kept</p></article>") == ["Kept"]
+        assert texts(f"<{tag}>no <!-- </{tag}><p>Kept</p>") == ["Kept"] and texts(f"<p>A</p><{tag}><article><p>Kept</p>")[-1] == "Kept"
+    assert texts("<p>If a < b then the rest") == ["If a < b then the rest"] and texts("<p>If a < b</p>") == ["If a < b"]
+    assert texts('<p title="a hidden gem">One</p><p class="col hidden lg:block">Two</p><p data-x="display:none">Three</p>') == ["One", "Two", "Three"]
+    assert texts('<p hidden>a</p><p hidden="">b</p><p style="color:red; display: none">c</p><p aria-hidden=true>d</p><p>Kept</p>') == ["Kept"]
+
+
 def test_extraction(spark, work):
     pages = read(spark, "pages")
     got = cases.table(crf.extract(pages, work, sample=60), "page_id")
