@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import crf, exact, hmm, latent, neardup, packing, repeats, secrets, surrogates, toxicity
+import public_tokenizers
+from millrace.llm import bpe, crf, exact, hmm, latent, neardup, packing, repeats, secrets, surrogates, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -111,3 +112,9 @@ def op3_lm_scoring(spark, sf_dir):
 @query()
 def op7_pii_surrogates(spark, sf_dir):
     return surrogates.pseudonymised(table(spark, sf_dir, "documents"), Workspace(spark, "surrogates"))
+
+
+@query()
+def op11_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True))
