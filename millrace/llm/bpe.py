@@ -92,7 +92,7 @@ class Coder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines() if line)}
         self.pattern = regex.compile(pattern)
         self.hidden = dict.fromkeys(map(ord, unknown), "\uffff")
-        self.unknown = re.compile(f"[{unknown}]") if unknown else None
+        self.unknown = frozenset(unknown)
         self.beyond = re.compile(f"[{min(unknown)}-\U0010ffff]") if unknown else None  # a cheap look, which most texts pass
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
@@ -147,7 +147,7 @@ class Coder:
         self.con.execute("INSERT INTO pieces SELECT * FROM given")
 
     def words(self, text: str) -> list[str]:
-        if self.unknown and self.beyond.search(text) and self.unknown.search(text):
+        if self.unknown and self.beyond.search(text) and not self.unknown.isdisjoint(text):
             return [text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.hidden))]
         return self.pattern.findall(text)
 
