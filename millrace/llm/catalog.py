@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from millrace.llm import bpe, crf, exact, hmm, latent, neardup, packing, repeats, secrets, surrogates, toxicity
+from millrace.llm import alignment, bpe, crf, exact, hmm, latent, lexical, neardup, packing, repeats, secrets, surrogates, toxicity
 from millrace.llm.tables import table
 from millrace.llm.workspace import Workspace
 
@@ -118,3 +118,27 @@ def op7_pii_surrogates(spark, sf_dir):
 def op11_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True))
+
+
+@query()
+def op12_token_alignment(spark, sf_dir):
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths, Workspace(spark, "alignment"))
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    size AS (SELECT count(*) AS N, CAST(sum(len(w)) AS BIGINT) AS L FROM d WHERE len(w) > 0),
+    postings AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(N) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, size GROUP BY term),
+    asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+    scored AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * N) // L)))) AS BIGINT) AS score
+               FROM asked JOIN postings USING (term) JOIN weights USING (term), size GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+    QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+""")
+def op13_lexical_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+from collections import Counter
 
 import cases
 import public_tokenizers
@@ -10,7 +11,7 @@ import pytest
 import tiktoken
 from cases import work  # noqa: F401
 
-from millrace.llm import bpe
+from millrace.llm import alignment, bpe
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -37,7 +38,8 @@ def test_long_and_odd_words(library, coder):
 
 
 def test_characters_of_other_unicode_versions(library, coder):
-    rows = ["a" + "".join(bpe.unassigned()[i:i + 40]) + "b 1" for i in range(0, 4000, 40)]
+    unknown = bpe.unassigned()
+    rows = ["a" + unknown[i:i + 40] + "b 1" for i in range(0, len(unknown), 40)]
     assert rows and coder.encode(rows).to_pylist() == [library.encode_ordinary(t) for t in rows]
 
 
@@ -69,3 +71,75 @@ def test_bpe_edges(spark, library, monkeypatch):
     ids = library.encode_ordinary(cases.PROSE + " today")
     assert digests.n_tokens == len(ids) and digests.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert bpe.encode(cases.empty(spark), RANKS, public_tokenizers.PATTERN, decoded=True).collect() == []
+
+
+MODELS = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+
+
+@pytest.fixture(scope="module")
+def aligner():
+    return alignment.Aligner(*alignment.read_models(*MODELS))
+
+
+def groups(aligner, text):
+    """Whole texts coded at once; groups by the bytes that tokens decode to."""
+    ids = (aligner.a.encode(" " + text, add_special_tokens=False).ids, aligner.b.encode(text)) if text else ([], [])
+    own = [[table[i] for i in x] for x, table in zip(ids, (aligner.a_bytes, aligner.b_bytes))]
+    if any(b"".join(x) != (" " + text).encode() for x in own):
+        return []
+    ends = [[len(b"".join(x[:i + 1])) for i in range(len(x))] for x in own]
+    out, low = [], (0, 0)
+    for cut in sorted(set(ends[0]) & set(ends[1])):
+        high = [e.index(cut) + 1 for e in ends]
+        out.append(tuple(x[a:b] for x, a, b in zip(ids, low, high)))
+        low = high
+    return out
+
+
+def expected(aligner, rows):
+    found = [groups(aligner, t or "") for t in rows]
+    links = [Counter((x, y) for a, b in g for x in a for y in b) for g in found]
+    held = Counter(p for c in links for p in c)
+    most = {}
+    for (x, _), n in held.items():
+        most[x] = max(most.get(x, 0), n)
+    out = []
+    for g, c in zip(found, links):
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in g)
+        out.append((sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), sum(c.values()), sum(n for p, n in c.items() if held[p] == most[p[0]]),
+                    sum(n * held[p] for p, n in c.items()), hashlib.sha256(shown.encode()).hexdigest() if g else ""))
+    return out
+
+
+ODD = ["a", " ", "  ", "x  y   z", "\n \n x", " lead", "trail ", "trail \n", "é" * 50, "漢字仮名 \U0001F9FF\U0001F9FF x \U0001F600", "▁ x", "<0x41> <|endoftext|> </s> <s>", "a\tb \t c", "\0x",
+       "\xa0a\xa0 b\u3000 c", "ｆｕｌｌ ﬁ", "é ́", "\r\n \r\n", "x \x85 y\u2028z", "\x1c \x1f", "   q", "a" * 3000, "supercalifragilistic" * 30, "good text beside", "a ▁ b in one text"]
+
+
+def rows_of(df):
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return sorted([tuple(-1 if r[c] is None else r[c] for c in names) for r in df.collect()])
+
+
+@pytest.mark.parametrize("chunk_bytes", [60, 1 << 20])
+def test_alignment_equals_brute_force(spark, work, aligner, chunk_bytes):
+    rng = random.Random(4)
+    rows = ODD + ["".join(rng.choice("ab é漢\n\t \U0001F9FFxyz▁") for _ in range(rng.randrange(1, 40))) for _ in range(150)] + [cases.PROSE] * 3
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3)
+    assert rows_of(alignment.align(docs, *MODELS, work, chunk_bytes)) == [(i, *r) for i, r in enumerate(expected(aligner, rows))]
+
+
+def test_alignment_edges(spark, work, aligner):
+    docs = cases.corpus(spark)
+    given = sorted([(-1 if r.doc_id is None else r.doc_id, r.text) for r in docs.collect()], key=lambda r: (r[0], r[1] or ""))
+    short = [(i, t) for i, t in given if t != cases.LONG]
+    got = rows_of(alignment.align(docs.filter(docs.text.isNull() | (docs.text != cases.LONG)), *MODELS, work))
+    assert got == sorted((i, *r) for (i, _), r in zip(short, expected(aligner, [t for _, t in short])))
+    whole = rows_of(alignment.align(docs, *MODELS, work))
+    assert len(whole) == len(given) and next(r for r in whole if r[0] == 6)[3] > 30_000
+    assert alignment.align(cases.empty(spark), *MODELS, work).collect() == []
+
+
+def test_units_are_where_no_token_crosses():
+    assert alignment.UNIT.findall(" a b  c\n d e ") == [" a", " b", "  c\n d", " e "]
+    assert alignment.unpack(alignment.pack(alignment.np.array([5, -3, 1 << 40]))).tolist() == [5, -3, 1 << 40]
+    assert alignment.unpack(alignment.pack(alignment.np.array([], int))).tolist() == []
