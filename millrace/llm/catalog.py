@@ -138,7 +138,7 @@ def op12_token_alignment(spark, sf_dir):
     scored AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * N) // L)))) AS BIGINT) AS score
                FROM asked JOIN postings USING (term) JOIN weights USING (term), size GROUP BY item_id, doc_id)
     SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
-    QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+    WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
 """)
 def op13_lexical_search(spark, sf_dir):
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
