@@ -24,9 +24,24 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{os.urandom(6).hex()}")
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
+def _at(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _at(spark, folder)
+    files.delete(path, True)
+
+
+def written(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the complete tables ``name=<number>`` in a folder, in ascending order."""
+    files, path = _at(spark, folder)
+    if not files.exists(path):
+        return []
+    found = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{name}=")]
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName().split("=")[1]) for p in found if files.exists(mark(p, "_SUCCESS")))
 
 
 def reliable(df: DataFrame) -> DataFrame:

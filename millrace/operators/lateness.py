@@ -17,16 +17,18 @@ ZERO = timedelta(0)
 
 def classify(df: DataFrame, arrival: Sequence[str], ts: str, size: timedelta, bound: timedelta = ZERO,
              allowed: timedelta = ZERO, slide: timedelta | None = None, tick: timedelta = TICK,
-             max_rows: int | None = None) -> DataFrame:
+             max_rows: int | None = None, since: Column | None = None) -> DataFrame:
     """Add ``watermark``, the row's window bounds and ``status``.
 
     ``watermark`` is what the earlier arrivals have set: their latest event time less ``bound`` and
     ``tick`` (punctuated and periodic generators use a zero tick). ``status`` is ``on_time``,
     ``refire`` (the window has fired but is still open for ``allowed``) or ``late``. With ``slide``,
     the bounds are those of the row's last window: a row is late when all of its windows are closed. A row without a time has no window and is
-    never late.
+    never late. ``since`` is the latest event time before the first row, of batches that came earlier.
     """
     seen = ordered(df, [], arrival, max_rows).running({"__seen": highest(ts)}, exclusive=True).to_df()
+    if since is not None:
+        seen = seen.withColumn("__seen", F.greatest("__seen", since))
     start = floor_time(ts, slide or size)
     out = seen.withColumn("window_start", start)
     out = out.withColumn("window_end", F.col("window_start") + interval(size))

@@ -4,11 +4,14 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from millrace.checkpoints import run_folder
+from millrace.checkpoints import remove_folder, run_folder
+from millrace.functions.spans import epoch_micros
 from millrace.operators.windows import tumbling
-from millrace.plans.registry import query
+from millrace.plans.registry import query, table
+from millrace.plans.timed import ARRIVALS
+from millrace.streaming import late
 
-HOUR = timedelta(hours=1)
+MINUTE, HOUR = timedelta(minutes=1), timedelta(hours=1)
 
 
 @query("""select time_bucket(interval '1 hour', ts) as window_start, time_bucket(interval '1 hour', ts) + interval '1 hour' as window_end,
@@ -32,3 +35,49 @@ def stream_pv_hourly(spark, folder):
      .trigger(availableNow=True).start().awaitTermination())
     parts = spark.read.parquet(f"{run}/out").groupBy("window_start", "window_end").agg(F.sum("pv").alias("pv"))
     return parts.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "pv")
+
+
+def _delivered(spark, folder, run, pieces=4):
+    """The classified arrivals as a stream in several deliveries, each a run of its own that goes on from the checkpoint.
+
+    ``run`` gives the writer for a stream of (event_id, ts, user_id, arrived). Deliveries are stretches of arrival time.
+    """
+    late = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") * 7919 % 600)
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id").withColumn("arrived", F.col("ts") + late)
+    place = epoch_micros(F.col("arrived"))
+    cuts = events.select(place.alias("at")).approxQuantile("at", [k / pieces for k in range(1, pieces)], 0.01)
+    home = run_folder(spark, "arrivals")
+    stretch = sum((F.coalesce(place > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for k in range(len(cuts) + 1):
+        events.where(stretch == k).write.parquet(f"{home}/in/piece{k}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{home}/in/*")
+        writer = run(stream, home).option("checkpointLocation", f"{home}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    remove_folder(spark, f"{home}/in")
+    return home
+
+
+@query(f"with {ARRIVALS} select event_id, user_id, window_end from c where status = 'late'")
+def stream_late_rows(spark, folder):
+    """The side output of five-minute windows with two minutes of grace, from a stream in four deliveries."""
+    def run(stream, home):
+        return late.judged(stream, f"{home}/latest", ["arrived", "event_id"], "ts", 5 * MINUTE, late.late_only(f"{home}/late"), allowed=2 * MINUTE)
+
+    home = _delivered(spark, folder, run)
+    return spark.read.parquet(f"{home}/late").select("event_id", "user_id", "window_end")
+
+
+@query(f"""with {ARRIVALS} select window_start, window_end, count(case when status = 'on_time' then 1 end) as on_time,
+  count(case when status = 'refire' then 1 end) as refired, count(case when status = 'late' then 1 end) as late,
+  count(*) as merged from c group by window_start, window_end""")
+def stream_late_merge(spark, folder):
+    """Window counts of the same stream, with the rows that came late merged into them."""
+    keys = ["window_start", "window_end"]
+
+    def run(stream, home):
+        totals = late.Totals(spark, f"{home}/totals", [*keys, "status"], {"rows": ("count", None)}, fold=3)
+        return late.judged(stream, f"{home}/latest", ["arrived", "event_id"], "ts", 5 * MINUTE, late.merging(totals), allowed=2 * MINUTE)
+
+    home = _delivered(spark, folder, run)
+    totals = late.Totals(spark, f"{home}/totals", [*keys, "status"], {"rows": ("count", None)})
+    return late.by_status(totals.table(), keys, "rows")
