@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from millrace.functions.spans import common, floor_time, interval, text
 from millrace.operators.ordered import count, latest, ordered, previous
 
-# How the values of two panes of the same window combine.
-MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
-FOLDS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+# How rows are folded, and how the values of two panes of the same window combine. A "sketch" counts distinct values, roughly; "bits" is a
+# bitmap of positions within a bucket.
+MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max, "sketch": F.hll_union_agg, "bits": F.bitmap_or_agg}
+FOLDS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "sketch": F.hll_sketch_agg, "bits": F.bitmap_construct_agg}
 
 STRETCH = 8  # sliding windows are summed in stretches of time this many windows long
 
-# name -> (count | sum | min | max, column); a count without a column counts rows.
+# name -> (count | sum | min | max | sketch | bits, column); a count without a column counts rows.
 Folds = Mapping[str, tuple[str, Column | str | None]]
 
 

@@ -115,6 +115,42 @@ def uv_approx(spark, folder):
     return exact.join(about, ["window_start", "window_end"]).select("window_start", "window_end", (off <= F.greatest(0.05 * F.col("uv"), F.lit(1))).alias("within"))
 
 
+@query("""with v as (select user_id, time_bucket(interval '5 minutes', ts) - g * interval '5 minutes' as window_start
+  from events, range(12) t(g) where event_type = 'view' and ts is not null)
+select window_start, window_start + interval '1 hour' as window_end, count(distinct user_id) as uv, true as not_below, true as not_above
+from v group by window_start""")
+def uv_sliding_sketch(spark, folder):
+    """Exact visitors of each hour at five-minute steps, and whether the union of pane sketches is within 7 % (or one visitor) on either side."""
+    views = of_type(spark, folder, "view")
+    about = distinct.approx_sliding(views, "ts", HOUR, 5 * MINUTE, "user_id", name="about")
+    seen = views.groupBy(F.window("ts", "1 hour", "5 minutes"), "user_id").agg(F.lit(1).alias("one"))
+    exact = seen.groupBy(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")).agg(F.count("user_id").alias("uv"))
+    margin = F.greatest(0.07 * F.col("uv"), F.lit(1))
+    return exact.join(about, ["window_start", "window_end"], "left").select(
+        "window_start", "window_end", "uv", F.coalesce(F.col("about") >= F.col("uv") - margin, F.lit(False)).alias("not_below"),
+        F.coalesce(F.col("about") <= F.col("uv") + margin, F.lit(False)).alias("not_above"))
+
+
+BLOOM_BITS, BLOOM_HASHES = 1024, 3  # few enough for values to be taken for known ones here
+
+
+@query(f"""with v as (select event_id, user_id, time_bucket(interval '1 hour', ts) as window_start, md5(cast(user_id as varchar)) as h
+  from events where event_type = 'view' and ts is not null),
+b as (select event_id, window_start, (('0x' || substr(h, 1, 15))::bigint % {BLOOM_BITS} + g * (('0x' || substr(h, 17, 15))::bigint % {BLOOM_BITS}))
+  % {BLOOM_BITS} as bit from v, range({BLOOM_HASHES}) t(g) where user_id is not null),
+f as (select window_start, min(event_id) as first from b group by window_start, bit),
+c as (select window_start, count(distinct first) as uv from f group by window_start),
+e as (select window_start, count(distinct user_id) as exact from v group by window_start)
+select window_start, window_start + interval '1 hour' as window_end, uv, exact, true as not_above from c join e using (window_start)""")
+def uv_bloom(spark, folder):
+    """Visitors per hour as a Bloom filter counts them, and exactly: the former is never larger."""
+    views = of_type(spark, folder, "view")
+    counted = distinct.bloom_per_window(views, "ts", HOUR, "user_id", "seq", BLOOM_BITS, BLOOM_HASHES)
+    exact = distinct.distinct_per_window(views, "ts", HOUR, "user_id", "exact")
+    both = counted.join(exact, ["window_start", "window_end"])
+    return both.select("window_start", "window_end", "uv", "exact", (F.col("uv") <= F.col("exact")).alias("not_above"))
+
+
 @query("""with v as (select time_bucket(interval '1 hour', ts) as window_start,
   list_reduce(list_prepend(0::bigint, list_transform(string_split(cast(user_id as varchar), ''), lambda c: ascii(c)::bigint)),
     lambda h, c: (h * 61 + c) & 8589934591) as bit from events where event_type = 'view')

@@ -99,11 +99,14 @@ class Totals:
                     if old < batch_id or name == "part":
                         remove_folder(self.spark, f"{self.folder}/{name}={old}")
 
-    def table(self, batch_id: int | None = None) -> DataFrame:
-        """The aggregates of all batches so far, or what one batch has added (as long as its part is there)."""
-        tables = written(self.spark, self.folder, "table")
-        parts = [p for p in written(self.spark, self.folder, "part") if (not tables or p > tables[-1]) and batch_id in (None, p)]
-        paths = [f"{self.folder}/part={p}" for p in parts] + ([f"{self.folder}/table={tables[-1]}"] if tables and batch_id is None else [])
+    def table(self, before: int | None = None) -> DataFrame | None:
+        """The aggregates of all batches so far, or of those before one; None without any."""
+        earlier = lambda name: [n for n in written(self.spark, self.folder, name) if before is None or n < before]
+        tables = earlier("table")
+        paths = [f"{self.folder}/part={p}" for p in earlier("part") if not tables or p > tables[-1]]
+        paths += [f"{self.folder}/table={t}" for t in tables[-1:]]
+        if not paths:
+            return None
         merges = [MERGES[kind](name).alias(name) for name, (kind, _) in self.aggs.items()]
         return self.spark.read.parquet(*paths).groupBy(*self.keys).agg(*merges)
 
