@@ -22,13 +22,15 @@ from millrace.llm.words import texts
 from millrace.llm.workspace import Workspace
 
 #: Bytes of text whose units share one dictionary, and so bound a task; a longer text is a chunk of its own.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: Units that go to the tokenizers at once.
-AT_ONCE = 20_000
+AT_ONCE = 10_000
 #: A space and what follows, up to the next space that stands after something else than white space and isn't the last character.
 UNIT = re.compile(r" (?:[^ ]+|(?<=\s) | \Z)*")
 #: Characters of neighbouring units that are coded as one text, which gives the same tokens and costs fewer calls.
 JOINED = 4096
+#: Rows of a batch whose texts are Python objects at the same time, and units of documents whose pairs are counted at once.
+ROWS, COUNTED = 256, 1 << 18
 SPACE = "▁"  # how the sentencepiece model writes a space
 
 DOC = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
@@ -69,6 +71,18 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(offsets(values)[at])
 
 
+def stretches(sizes: np.ndarray, most: int):
+    """Neighbouring rows of at most ``most`` together, or one larger row."""
+    low = total = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > low and total + size > most:
+            yield low, i
+            low, total = i, 0
+        total += size
+    if low < len(sizes):
+        yield low, len(sizes)
+
+
 class Units:
     """What alignment knows of a list of units: sizes by unit, the groups as text, and the linked pairs of ids (codes) with how often."""
 
@@ -224,7 +238,7 @@ class Chunk:
 
     def add(self, doc_id, text: str) -> None:
         found = UNIT.findall(" " + text) if text else []
-        own = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+        own = np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))
         self.ids.append(doc_id)
         self.rows.append(own)
         self.bytes += len(text)
@@ -243,15 +257,18 @@ class Chunk:
         totals = [sums(x[flat], at) for x in (n_a, n_b, n_groups, n_links)]
         digests = [hashlib.sha256("".join([shown[u] for u in r.tolist()])[:-1].encode()).hexdigest() if len(r) else "" for r in rows]
         # the distinct units of each document, and in how many documents each pair is
-        keys, often = np.unique(np.repeat(np.arange(len(rows)), sizes) << 32 | flat, return_counts=True)
-        doc, used = keys >> 32, keys & 0xFFFFFFFF
         codes, place = np.unique(code, return_inverse=True)
-        of_unit = np.bincount(unit, minlength=len(units))
-        repeat = of_unit[used]
-        where = np.arange(repeat.sum()) - np.repeat(offsets(repeat)[:-1], repeat) + np.repeat(offsets(of_unit)[used], repeat)
-        in_doc = np.unique(np.repeat(doc, repeat) << 32 | place[where])
-        held = np.bincount(in_doc & 0xFFFFFFFF, minlength=len(codes))
-        packed = [pack(x) for x in (np.bincount(doc, minlength=len(rows)), used, often, of_unit, place, times)]
+        of_unit, held = np.bincount(unit, minlength=len(units)), np.zeros(len(codes), np.int64)
+        pairs_at, used, often, per_doc = offsets(of_unit), [], [], []
+        for low, high in stretches(sizes, COUNTED):
+            keys, times_used = np.unique(np.repeat(np.arange(high - low), sizes[low:high]) << 32 | flat[at[low]:at[high]], return_counts=True)
+            doc, own = keys >> 32, keys & 0xFFFFFFFF
+            repeat = of_unit[own]
+            where = np.arange(repeat.sum()) + np.repeat(pairs_at[own] - offsets(repeat)[:-1], repeat)
+            held += np.bincount(np.unique(np.repeat(doc, repeat) << 32 | place[where]) & 0xFFFFFFFF, minlength=len(codes))
+            used.append(own), often.append(times_used), per_doc.append(np.bincount(doc, minlength=high - low))
+        used, often, per_doc = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (used, often, per_doc))
+        packed = [pack(x) for x in (per_doc, used, often, of_unit, place, times)]
         docs = pa.StructArray.from_arrays([pa.array(self.ids, pa.int64()), *map(pa.array, totals), pa.array(digests, pa.string())], DOC_NAMES)
         one = lambda values, kind: pa.array([values], pa.list_(kind))
         return pa.RecordBatch.from_arrays(
@@ -273,11 +290,13 @@ def chunks(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> DataF
             ALIGNERS[shared.value] = Aligner(*shared.value)
         aligner, number, chunk = ALIGNERS[shared.value], TaskContext.get().partitionId() << 32, Chunk()
         for batch in batches:
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                if chunk.ids and chunk.bytes + len(raw) > chunk_bytes:
-                    yield chunk.batch(aligner, number)
-                    number, chunk = number + 1, Chunk()
-                chunk.add(doc_id, raw.decode("utf-8", "replace"))
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                for doc_id, raw in zip(part.column("doc_id").to_pylist(), texts(part)):
+                    if chunk.ids and chunk.bytes + len(raw) > chunk_bytes:
+                        yield chunk.batch(aligner, number)
+                        number, chunk = number + 1, Chunk()
+                    chunk.add(doc_id, raw.decode("utf-8", "replace"))
         if chunk.ids:
             yield chunk.batch(aligner, number)
 
