@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import timedelta
+from typing import Iterator, Tuple  # noqa: UP035  the forms that Spark looks for
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from millrace.functions.spans import common, floor_time, interval, text
 from millrace.operators.ordered import count, latest, ordered, previous
@@ -109,3 +113,26 @@ def _bounds(df: DataFrame) -> DataFrame:
     others = [c for c in df.columns if c != "window"]
     return df.select(F.col("window.start").alias("window_start"),
                      F.col("window.end").alias("window_end"), *others)
+
+
+def processed(df: DataFrame, ts: str, size: timedelta, keys: Sequence[str], function: Callable[[tuple, Iterator[pa.RecordBatch]], Iterable[tuple]],
+              schema: str) -> DataFrame:
+    """A user function over each whole window: ``function(key, batches)`` gives rows of ``schema`` from the window's rows.
+
+    ``key`` is (start, end, *keys). The rows come as Arrow batches, one after the other, so a task never holds a window whole; what the
+    function keeps is its own. All rows of a (window, key) go to one task: what `sliding` and `tumbling` can fold should go there.
+    """
+    rows = df.where(F.col(ts).isNotNull()).withColumn("__w", F.window(ts, text(size)))
+    rows = rows.select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *df.columns)
+    named = ["window_start", "window_end", *keys]
+    types = dict(rows.dtypes)
+    made = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in DataType.fromDDL(schema).fields])
+
+    def run(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(function(tuple(k.as_py() for k in key), batches))
+        own = [pa.array([k.as_py()] * len(found), k.type) for k in key]
+        columns = zip(*found) if found else [[] for _ in made]
+        yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, f.type) for c, f in zip(columns, made)]], [*named, *made.names])
+
+    out = ", ".join(f"`{k}` {types[k]}" for k in named)
+    return rows.groupBy(*named).applyInArrow(run, f"{out}, {schema}")

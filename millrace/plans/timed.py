@@ -1,5 +1,6 @@
 """Windows, distinct counts and late rows."""
 
+from collections import Counter
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -60,6 +61,29 @@ def window_process(spark, folder):
                             F.min("vc").alias("low"), F.max("vc").alias("high"))
 
 
+def _median(key, batches):
+    """The median of ``vc``, from counts of its values."""
+    counts = Counter()
+    for batch in batches:
+        counts.update(v for v in batch.column("vc").to_pylist() if v is not None)
+    n, seen, middle = counts.total(), 0, []
+    for value in sorted(counts):
+        seen += counts[value]
+        if 2 * seen >= n and not middle:
+            middle.append(value)
+        if 2 * seen > n:
+            middle.append(value)
+            break
+    yield n, (middle[0] + middle[1]) / 2 if n else None
+
+
+@query(f"""with {READINGS} select {HOURLY}, id, count(vc) as cnt, cast(median(vc) as double) as median from r where ts is not null
+group by window_start, window_end, id""")
+def window_median(spark, folder):
+    """A function over whole windows."""
+    return windows.processed(readings(spark, folder), "ts", HOUR, ["id"], _median, "cnt bigint, median double")
+
+
 @query(f"""with {READINGS}, w as ({SLIDES}) select window_start + interval '1 hour' as window_end, id,
   count(*) as cnt from w group by window_start, id""")
 def window_count_end(spark, folder):
