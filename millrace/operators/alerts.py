@@ -51,48 +51,92 @@ def rising_alerts(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
 
 
 def _short_runs(flat: DataFrame, group: Sequence[str], places: Sequence[str], hold: timedelta) -> DataFrame:
-    """Alerts of runs that fit one task. A run is searched from one timer's end to the next, so the work is per alert and not per row."""
-    names, wait = list(group), np.timedelta64(hold)
+    """Alerts of runs that fit one task: all runs of a batch go from one timer's end to the next together."""
+    names, wait = list(group), hold // timedelta(microseconds=1)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, timer = None, None  # the run that is open and its timer
+        here, timer = None, None  # the run that is open, as a frame of one row, and its timer
         for batch in batches:
-            fired = []
-            at, fall = batch["__at"].to_numpy().astype("datetime64[us]"), batch["__fall"].to_numpy(bool)
-            codes = [pd.factorize(batch[n], use_na_sentinel=False)[0] for n in names]
+            if not len(batch):
+                continue
             change = np.zeros(len(batch), bool)
-            for code in codes:
+            for name in names:
+                code = pd.factorize(batch[name], use_na_sentinel=False)[0]
                 change[1:] |= code[1:] != code[:-1]
-            edges = [0, *np.flatnonzero(change), len(batch)] if len(batch) else []
-            for low, high in zip(edges, edges[1:]):
-                run = tuple(None if pd.isna(v) else v for v in batch[names].iloc[low])
-                if run != here and timer is not None:
-                    fired.append((*here, timer - wait, timer))
-                    timer = None
-                here, i, times = run, low, at[low:high]
-                while i < high:  # only the last row of a run can be a fall
-                    if timer is None:
-                        if fall[i]:
-                            break
-                        timer = at[i] + wait
-                    i = low + int(np.searchsorted(times, timer, "right"))
-                    if i < high:
-                        fired.append((*here, timer - wait, timer))
-                        timer = None
-                if fall[high - 1]:
-                    timer = None
-            yield table(fired, batch)
+            low = np.append(0, np.flatnonzero(change))
+            heads = batch[names].iloc[low].reset_index(drop=True)
+            carried = timer if here is not None and first_key(heads) == first_key(here) else None
+            if timer is not None and carried is None:
+                yield alerts(here, [timer])
+            runs, times, timer = walk_runs(batch["__at"].to_numpy().astype("datetime64[us]").view(np.int64), batch["__fall"].to_numpy(bool), low, carried, wait)
+            here = heads.iloc[-1:]
+            yield alerts(heads.iloc[runs], times)
         if timer is not None:
-            yield table([(*here, timer - wait, timer)], batch)
+            yield alerts(here, [timer])
 
-    def table(rows: list[tuple], batch: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[*names, "start_ts", "fire_ts"])
-        return out if rows else out.astype({**batch[names].dtypes, "start_ts": "datetime64[ns]", "fire_ts": "datetime64[ns]"})
+    def first_key(frame: pd.DataFrame) -> tuple:
+        return tuple(None if pd.isna(v) else v for v in frame.iloc[0])
+
+    def alerts(keys: pd.DataFrame, timers) -> pd.DataFrame:
+        fire = np.asarray(timers, np.int64)
+        known = fire != NEVER
+        time = lambda x: np.where(known, x, NO_TIME).view("datetime64[us]").astype("datetime64[ns]")
+        return keys.reset_index(drop=True).assign(start_ts=time(fire - wait), fire_ts=time(fire))
 
     rows = flat.repartition(*group).sortWithinPartitions(*group, *places).select(*group, "__at", "__fall")
     return rows.mapInPandas(walk, _schema(rows, group, "start_ts", "fire_ts"))
 
 
+NO_TIME, NEVER = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+FEW_RUNS = 16
+
+
+def walk_runs(at: np.ndarray, fall: np.ndarray, low: np.ndarray, carried: int | None, wait: int) -> tuple[np.ndarray, np.ndarray, int | None]:
+    """Alerts of runs that begin at ``low`` (numbers of runs, and when their timers fire), and the timer that the last run is left with.
+
+    ``carried`` is the timer with which the first run goes on. Only the last row of a run can be a fall; event time doesn't go back.
+    A timer that is started by a row without a time never passes before the run ends.
+    """
+    high = np.append(low[1:], len(at))
+    run = np.repeat(np.arange(len(low)), high - low)
+    if ((at[1:] < at[:-1]) & (run[1:] == run[:-1])).any():
+        at = pd.Series(at).groupby(run).cummax().to_numpy()
+    timer, runs_ = np.full(len(low), NO_TIME), np.arange(len(low))  # NO_TIME: none is running
+    if carried is not None:
+        timer[0] = carried
+    place, live = low.copy(), runs_
+    fired_runs, fired_times = [], []
+    while len(live):
+        idle = timer[live] == NO_TIME
+        ended = idle & fall[place[live]]
+        starts = live[idle & ~ended]
+        begun = at[place[starts]]
+        timer[starts] = np.where(begun == NO_TIME, NEVER, begun + wait)
+        live = live[~ended]
+        place[live] = first_after(at, place[live], high[live], timer[live])
+        live = live[place[live] < high[live]]
+        fired_runs.append(live)
+        fired_times.append(timer[live])
+        timer[live] = NO_TIME
+    timer[fall[high - 1]] = NO_TIME
+    left = runs_[:-1][timer[:-1] != NO_TIME]
+    last = int(timer[-1])
+    return np.concatenate([*fired_runs, left]), np.concatenate([*fired_times, timer[left]]), None if last == NO_TIME else last
+
+
+def first_after(at: np.ndarray, low: np.ndarray, high: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """For each stretch [low, high) of ascending times its first place with a time above ``limit``, else ``high``."""
+    if len(low) <= FEW_RUNS:
+        return np.array([a + np.searchsorted(at[a:b], t, "right") for a, b, t in zip(low, high, limit)], np.int64)
+    low, high = low.copy(), high.copy()
+    while (open_ := low < high).any():
+        middle = np.where(open_, (low + high) // 2, 0)
+        above = at[middle] > limit
+        high = np.where(open_ & above, middle, high)
+        low = np.where(open_ & ~above, middle + 1, low)
+    return low
+
+
 def _long_runs(rows: DataFrame, group: Sequence[str], hold: timedelta, max_rows: int | None) -> DataFrame:
     """Alerts of runs cut into chunks; a run ends at its fall, which cancels a timer still running."""
     starts = _long_run_starts(rows, group, hold, max_rows)
