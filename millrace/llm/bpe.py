@@ -26,29 +26,34 @@ REMEMBERED, REMEMBERED_BYTES = 600_000, 32 << 20
 #: Longer runs of bytes contract many pairs a round.
 LONG_RUN = 256
 
-PAIRED = """paired AS MATERIALIZED (
-    SELECT run, pos, token, npos, m{more} FROM (
-        SELECT run, pos, token, lead(token) OVER w AS nxt, lead(pos) OVER w AS npos{seen} FROM step WHERE NOT done WINDOW w AS (PARTITION BY run ORDER BY pos))
-    LEFT JOIN merges ON (token << 32 | nxt) = pair)"""
-
-#: Each round: the pair of the least rank, leftmost first, in every run that has one; a run without is done.
-CONTRACT = f"""
+#: Each round: the pair of the least rank, leftmost first, in every run that has one; a run without is done. Positions are those of all
+#: runs together, so one order serves them all.
+CONTRACT = """
 WITH RECURSIVE step(run, pos, token, done) AS (
     SELECT run, pos, token, false FROM short
     UNION ALL
-    (WITH {PAIRED.format(more="", seen="")},
-     best AS (SELECT run, arg_min(pos, m << 32 | pos) AS at, arg_min(npos, m << 32 | pos) AS gone, min(m) AS m FROM paired WHERE m IS NOT NULL GROUP BY run)
-     SELECT p.run, p.pos, CASE WHEN p.pos = b.at THEN b.m ELSE p.token END, b.run IS NULL
-     FROM paired p LEFT JOIN best b ON p.run = b.run WHERE b.run IS NULL OR p.pos <> b.gone))
+    (WITH paired AS MATERIALIZED (
+        SELECT run, pos, token, ppos, m FROM (
+            SELECT run, pos, token, CASE WHEN lead(run) OVER w = run THEN lead(token) OVER w END AS nxt, lag(pos) OVER w AS ppos
+            FROM step WHERE NOT done WINDOW w AS (ORDER BY pos))
+        LEFT JOIN merges ON (token << 32 | nxt) = pair),
+     best AS (SELECT run, min(m << 32 | pos) AS b FROM paired WHERE m IS NOT NULL GROUP BY run)
+     SELECT p.run, p.pos, CASE WHEN p.pos = (b.b & 4294967295) THEN b.b >> 32 ELSE p.token END, b.run IS NULL
+     FROM paired p LEFT JOIN best b ON p.run = b.run WHERE b.run IS NULL OR p.ppos IS DISTINCT FROM (b.b & 4294967295)))
 SELECT pos, token FROM step WHERE done"""
 
 #: The same for long runs, with many pairs a round: those of the least rank from the left, every second one where they overlap, up to
 #: the first that makes a pair of a lesser rank with its neighbours. One by one, they would be contracted in this order too.
-CONTRACT_LONG = f"""
+CONTRACT_LONG = """
 WITH RECURSIVE step(run, pos, token, done) AS (
     SELECT run, pos, token, false FROM long
     UNION ALL
-    (WITH {PAIRED.format(more=", ppos, ptoken, token2", seen=", lag(pos) OVER w AS ppos, lag(token) OVER w AS ptoken, lead(token, 2) OVER w AS token2")},
+    (WITH paired AS MATERIALIZED (
+        SELECT run, pos, token, npos, m, ppos, ptoken, token2 FROM (
+            SELECT run, pos, token, lead(token) OVER w AS nxt, lead(pos) OVER w AS npos, lag(pos) OVER w AS ppos, lag(token) OVER w AS ptoken,
+                   lead(token, 2) OVER w AS token2
+            FROM step WHERE NOT done WINDOW w AS (PARTITION BY run ORDER BY pos))
+        LEFT JOIN merges ON (token << 32 | nxt) = pair),
      best AS (SELECT run, min(m) AS m FROM paired WHERE m IS NOT NULL GROUP BY run),
      least AS (SELECT p.*, row_number() OVER w AS k, lag(p.npos) OVER w IS DISTINCT FROM p.pos AS head
                FROM paired p JOIN best b ON p.run = b.run AND p.m = b.m WINDOW w AS (PARTITION BY p.run ORDER BY p.pos)),
@@ -62,7 +67,6 @@ WITH RECURSIVE step(run, pos, token, done) AS (
      FROM paired p LEFT JOIN best b ON p.run = b.run LEFT JOIN taken t ON p.pos = t.pos LEFT JOIN taken g ON p.pos = g.npos WHERE g.pos IS NULL))
 SELECT pos, token FROM step WHERE done"""
 
-ENCODED = "SELECT o.doc, p.token FROM occurrences o JOIN pieces p ON o.word = p.word ORDER BY o.place, p.pos"
 DECODED = "SELECT doc, array_to_string(list(v.letters ORDER BY t.place), '') AS letters FROM tokens t JOIN vocabulary v ON t.token = v.token GROUP BY doc"
 
 
@@ -82,6 +86,19 @@ def unassigned() -> str:
     return "".join(sorted(out))
 
 
+class Numbers(dict):
+    """Numbers for words in the order of their first use; ``new`` are those numbered since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Coder:
     """Encodes and decodes texts in one DuckDB connection; ``pattern`` cuts a text into the words that are merged one by one.
 
@@ -113,15 +130,12 @@ class Coder:
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.known_bytes = 0
-        self.con.execute("CREATE OR REPLACE TABLE pieces (word BIGINT, pos BIGINT, token BIGINT)")
+        self.known, self.known_bytes = Numbers(), 0
+        self.tokens, self.begin, self.count = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)  # of the known words
 
     def learn(self, words: list[str]) -> None:
-        """Adds the tokens of words that are not known yet."""
+        """Adds the tokens of words that are new, in the order of their numbers."""
         raw = [w.encode() for w in words]
-        numbers = np.arange(len(self.known), len(self.known) + len(raw))
-        self.known.update(zip(words, numbers.tolist()))
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         self.known_bytes += int(size.sum())
         flat = np.frombuffer(b"".join(raw), np.uint8)
@@ -133,18 +147,20 @@ class Coder:
         run = np.cumsum(start) - 1
         rest = whole[word] < 0
         long = np.bincount(run)[run] > LONG_RUN if len(run) else rest
-        at, token = [np.flatnonzero(whole >= 0)], [whole[whole >= 0]]
-        owner = [at[0]]
-        at[0] = (np.cumsum(size) - size)[at[0]]
+        first = np.cumsum(size) - size
+        at, token = [first[whole >= 0]], [whole[whole >= 0]]
         for name, query, here in (("short", CONTRACT, rest & ~long), ("long", CONTRACT_LONG, rest & long)):
             if here.any():
                 self.create(name, run=run[here], pos=np.flatnonzero(here), token=self.single[flat[here]])
                 done = self.con.sql(query).to_arrow_table()
                 at.append(done.column("pos").to_numpy())
                 token.append(done.column("token").to_numpy())
-                owner.append(word[at[-1]])
-        given = pa.table({"word": numbers[np.concatenate(owner)], "pos": np.concatenate(at), "token": np.concatenate(token)})  # noqa: F841
-        self.con.execute("INSERT INTO pieces SELECT * FROM given")
+        at, token = np.concatenate(at), np.concatenate(token)
+        order = np.argsort(at)
+        count = np.bincount(word[at], minlength=len(raw))
+        self.begin = np.concatenate([self.begin, len(self.tokens) + np.cumsum(count) - count])
+        self.tokens = np.concatenate([self.tokens, token[order].astype(np.int32)])
+        self.count = np.concatenate([self.count, count])
 
     def words(self, text: str) -> list[str]:
         if self.unknown and self.beyond.search(text) and not self.unknown.isdisjoint(text):
@@ -153,23 +169,19 @@ class Coder:
 
     def encode(self, documents: list[str]) -> pa.Array:
         """Ids of each text, as lists."""
-        found, counts = [], []
-        for text in documents:
-            words = self.words(text)
-            counts.append(len(words))
-            found += words
-        coded = pa.array(found, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        del found
         if len(self.known) > REMEMBERED or self.known_bytes > REMEMBERED_BYTES:
             self.forget()
-        self.learn([w for w in distinct if w not in self.known])
-        numbers = np.array([self.known[w] for w in distinct], np.int64)
-        doc = np.repeat(np.arange(len(documents)), counts)
-        occurrences = pa.table({"doc": doc, "place": np.arange(len(doc)), "word": numbers[coded.indices.to_numpy()]})  # noqa: F841
-        rows = self.con.sql(ENCODED).to_arrow_table()
-        ends = np.cumsum(np.bincount(rows.column("doc").to_numpy(), minlength=len(documents))) if len(documents) else []
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), rows.column("token").cast(pa.int32()).combine_chunks())
+        rows = []
+        for text in documents:
+            words = self.words(text)
+            rows.append(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+        self.learn(self.known.new)
+        self.known.new = []
+        word = np.concatenate([*rows, np.empty(0, np.int64)])
+        count = self.count[word]
+        where = np.repeat(self.begin[word] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum([0, *map(len, rows)])]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(self.tokens[where], pa.int32()))
 
     def decode(self, ids: pa.Array) -> list[bytes]:
         """Bytes of each list of ids; null and empty lists have none. An id without a token is an error."""
