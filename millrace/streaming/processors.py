@@ -1,7 +1,7 @@
 """Keyed state and timers for streams.
 
 Conditions, times and payloads are computed as columns before the rows get here, so the Python
-side only moves state. Times are epoch milliseconds. A micro-batch of a key is sorted by its
+side only moves state. Timers ring in epoch milliseconds. A micro-batch of a key is sorted by its
 arrival number; its size is bounded by the source's per-trigger limit.
 """
 
@@ -22,11 +22,11 @@ class RollingFold(StatefulProcessor):
     ``folds`` are (kind, field) pairs; kinds: sum, count, max, min, first, latest, previous.
     """
 
-    def __init__(self, keys, folds, state_schema):
-        self.keys, self.folds, self.state_schema = keys, folds, state_schema
+    def __init__(self, keys, folds, state_schema, ttl=None):
+        self.keys, self.folds, self.state_schema, self.ttl = keys, folds, state_schema, ttl
 
     def init(self, handle):
-        self.state = handle.getValueState("values", self.state_schema)
+        self.state = handle.getValueState("values", self.state_schema, self.ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.state.get() if self.state.exists() else None
@@ -240,8 +240,13 @@ class Context(StatefulProcessor):
                   watermark=timerValues.getCurrentWatermarkInMs(), now=timerValues.getCurrentProcessingTimeInMs())
 
 
+def milliseconds(at: int) -> int:
+    """A time in microseconds as a timer that doesn't ring before it."""
+    return -(-at // 1000)
+
+
 class PaymentTimer(StatefulProcessor):
-    """Order payment in arrival order: the first of (create, pay) sets a timer, the second settles the order."""
+    """Order payment in arrival order: the first of (create, pay) sets a timer, the second settles the order. Times are microseconds."""
 
     def __init__(self, keys, limit):
         self.keys, self.limit = keys, limit
@@ -264,7 +269,7 @@ class PaymentTimer(StatefulProcessor):
                 yield Row(**named, status="late_paid" if paid - created >= self.limit else "normal")
                 continue
             if timer is None:
-                timer = row["at"] + self.limit
+                timer = milliseconds(row["at"] + self.limit)
                 self.handle.registerTimer(timer)
             self.waiting.update((created, paid, timer))
 
@@ -279,40 +284,85 @@ Event = namedtuple("Event", "at seq value payload marks")
 
 
 class EventTimeOrder(StatefulProcessor):
-    """Base: holds rows until the watermark has passed them, then hands them on by (time, arrival).
+    """Base: holds rows until the watermark has passed them, then hands them on by (time, arrival). Times are microseconds.
 
-    Rows that come after the watermark has passed their time are dropped.
+    Held rows lie in a map by stretches of time, and one timer rings for the first of them, so a firing reads only what is due. A row that
+    comes after the watermark has passed its time, or has none, goes out at once with its place in ``late_seq``. With ``ttl``, a key that
+    has had no row for so long in event time is forgotten.
     """
 
     kind = "bigint"  # of the value
+    fields: tuple = ()  # of the output, besides keys and late_seq
+    stretch = 1_000_000
+    ttl: int | None = None
 
     def init(self, handle):
         self.handle = handle
-        self.held = handle.getListState(
-            "held", f"at bigint, seq bigint, value {self.kind}, payload string, marks array<boolean>")
+        event = f"at bigint, seq bigint, value {self.kind}, payload string, marks array<boolean>"
+        self.held = handle.getMapState("held", "stretch bigint", f"rows array<struct<{event}>>")
+        self.clock = handle.getValueState("clock", "wake bigint, seen bigint, expiry bigint")
         self.begin(handle)
 
     def handleInputRows(self, key, rows, timerValues):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        fresh = [(r["at"], r["seq"], r["value"], r["payload"], list(r["marks"])) for r in rows if r["at"] > watermark]
+        watermark, fresh = timerValues.getCurrentWatermarkInMs() * 1000, {}
+        for r in rows:
+            if r["at"] is None or r["at"] <= watermark:
+                yield Row(**dict(zip(self.keys, key)), **dict.fromkeys(self.fields), late_seq=r["seq"])
+            else:
+                fresh.setdefault(r["at"] // self.stretch, []).append((r["at"], r["seq"], r["value"], r["payload"], list(r["marks"])))
+        for place, new in fresh.items():
+            before = [tuple(e) for e in self.held.getValue((place,))[0]] if self.held.containsKey((place,)) else []
+            self.held.updateValue((place,), (before + new,))
         if fresh:
-            self.held.appendList(fresh)
-            for at in {r[0] for r in fresh}:
-                self.handle.registerTimer(at)
-        return iter(())
+            times = [e[0] for new in fresh.values() for e in new]
+            wake, seen, expiry = self.clock.get() if self.clock.exists() else (None, None, None)
+            wake = self.rings(wake, min(times))
+            seen = max(times) if seen is None else max(seen, *times)
+            if self.ttl is not None and expiry is None:
+                expiry = self.rings(None, seen + self.ttl)
+            self.clock.update((wake, seen, expiry))
+
+    def rings(self, wake: int | None, at: int) -> int:
+        """The earlier of a timer that is set and one at ``at``, which is set if it is the earlier."""
+        timer = milliseconds(at)
+        if wake is not None and wake <= timer:
+            return wake
+        self.handle.registerTimer(timer)
+        return timer
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = [Event(*r) for r in self.held.get()] if self.held.exists() else []
-        due = sorted((e for e in held if e.at <= watermark), key=lambda e: (e.at, e.seq))
-        if due:
-            later = [tuple(e) for e in held if e.at > watermark]
-            self.held.put(later) if later else self.held.clear()
-        yield from self.advance(key, due, watermark)
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        due, later = [], []
+        for (place,) in sorted(tuple(k) for k in self.held.keys()):
+            if place * self.stretch > watermark:
+                later.append(place * self.stretch)
+                break
+            events = [Event(*e) for e in self.held.getValue((place,))[0]]
+            due += [e for e in events if e.at <= watermark]
+            waiting = [tuple(e) for e in events if e.at > watermark]
+            if waiting:
+                self.held.updateValue((place,), (waiting,))
+                later.append(min(e[0] for e in waiting))
+            else:
+                self.held.removeKey((place,))
+        _, seen, expiry = self.clock.get() if self.clock.exists() else (None, None, None)
+        wake = self.rings(None, min(later)) if later else None
+        yield from self.advance(key, sorted(due, key=lambda e: (e.at, e.seq)), watermark)
+        if self.ttl is not None and expiry is not None and expiry * 1000 <= watermark:
+            if not later and seen + self.ttl <= watermark:
+                self.clock.clear()
+                self.forget()
+                return
+            expiry = self.rings(None, seen + self.ttl)
+        if seen is not None:
+            self.clock.update((wake, seen, expiry))
 
     def begin(self, handle):
         """Declare further state."""
 
+    def forget(self):
+        """Clear that state."""
+
     def advance(self, key, events: Iterable[Event], watermark: int) -> Iterator[Row]:
         raise NotImplementedError
 
@@ -320,31 +370,72 @@ class EventTimeOrder(StatefulProcessor):
 class RisingAlerts(EventTimeOrder):
     """Alerts for keys whose value has not fallen for ``hold``."""
 
-    def __init__(self, keys, hold, kind="bigint"):
-        self.keys, self.hold, self.kind = keys, hold, kind
+    fields = ("start_us", "fire_us")
+
+    def __init__(self, keys, hold, kind="bigint", ttl=None):
+        self.keys, self.hold, self.kind, self.ttl = keys, hold, kind, ttl
 
     def begin(self, handle):
         self.state = handle.getValueState("rising", f"timer bigint, value {self.kind}")
 
+    def forget(self):
+        self.state.clear()
+
     def advance(self, key, events, watermark):
         timer, last = self.state.get() if self.state.exists() else (None, None)
         named = dict(zip(self.keys, key))
         for event in events:
             if timer is not None and event.at > timer:
-                yield Row(**named, start_at=timer - self.hold, fire_at=timer)
+                yield self.alert(named, timer)
                 timer = None
             if last is not None and event.value < last:
                 timer = None
             elif timer is None:
                 timer = event.at + self.hold
-                self.handle.registerTimer(timer)
+                self.handle.registerTimer(milliseconds(timer))
             last = event.value
         if timer is not None and timer <= watermark:
-            yield Row(**named, start_at=timer - self.hold, fire_at=timer)
+            yield self.alert(named, timer)
             timer = None
         if last is not None:
             self.state.update((timer, last))
 
+    def alert(self, named, timer):
+        return Row(**named, start_us=timer - self.hold, fire_us=timer, late_seq=None)
+
+
+class TimesMatcher(EventTimeOrder):
+    """Runs of ``least`` to ``most`` fitting rows from every start; rows that don't fit are skipped.
+
+    The matches that are open share one buffer: each is a stretch of the last ``most`` - 1 fitting rows.
+    """
+
+    fields = ("start_no", "times", "events")
+
+    def __init__(self, keys, least, most, within, ttl=None):
+        self.keys, self.least, self.most, self.within, self.ttl = keys, least, most, within, ttl
+
+    def begin(self, handle):
+        self.buffer = handle.getValueState("buffer", "n bigint, rows array<struct<at bigint, payload string>>")
+
+    def forget(self):
+        self.buffer.clear()
+
+    def advance(self, key, events, watermark):
+        n, kept = self.buffer.get() if self.buffer.exists() else (0, [])
+        kept, before = [tuple(e) for e in kept], n
+        for event in events:
+            if not event.marks[0]:
+                continue
+            n += 1
+            kept = [*kept, (event.at, event.payload)][-self.most:]
+            for times in range(self.least, min(self.most, len(kept)) + 1):
+                if self.within is None or event.at < kept[-times][0] + self.within:
+                    yield Row(**dict(zip(self.keys, key)), start_no=n - times + 1, times=times, events=[p for _, p in kept[-times:]], late_seq=None)
+            kept = kept[-(self.most - 1):] if self.most > 1 else []
+        if n > before:
+            self.buffer.update((n, kept))
+
 
 class SequenceMatcher(EventTimeOrder):
     """Matches and timed-out partial matches of a pattern.
@@ -352,12 +443,17 @@ class SequenceMatcher(EventTimeOrder):
     ``marks[0]`` tells whether a row can start a match, ``marks[k + 1]`` whether it fits step ``k``.
     """
 
-    def __init__(self, keys, steps, within):
-        self.keys, self.steps, self.within = keys, steps, within
+    fields = ("matched", "events", "timeout_us")
+
+    def __init__(self, keys, steps, within, ttl=None):
+        self.keys, self.steps, self.within, self.ttl = keys, steps, within, ttl
 
     def begin(self, handle):
         self.partials = handle.getListState("partials", "step int, started bigint, events array<string>")
 
+    def forget(self):
+        self.partials.clear()
+
     def advance(self, key, events, watermark):
         partials = [tuple(p) for p in self.partials.get()] if self.partials.exists() else []
         before = list(partials)
@@ -382,7 +478,7 @@ class SequenceMatcher(EventTimeOrder):
                 else:
                     kept.append(fresh)
                     if self.within is not None:
-                        self.handle.registerTimer(event.at + self.within)
+                        self.handle.registerTimer(milliseconds(event.at + self.within))
             partials = kept
         for partial in partials:
             if self.overdue(partial, watermark):
@@ -415,4 +511,4 @@ class SequenceMatcher(EventTimeOrder):
 
     def output(self, named, partial, matched):
         deadline = None if self.within is None else partial[1] + self.within
-        return Row(**named, matched=matched, events=list(partial[2]), timeout_at=deadline)
+        return Row(**named, matched=matched, events=list(partial[2]), timeout_us=deadline, late_seq=None)

@@ -27,14 +27,14 @@ def _wide(df: DataFrame, value: str) -> str:
     return "bigint" if kind in INTEGERS else "double" if kind == "float" else kind
 
 
-def rolling(df: DataFrame, keys: Sequence[str], order: str, columns: Mapping[str, tuple[str, str | None]]) -> DataFrame:
-    """One row per input row with running values ``{name: (kind, column)}``."""
+def rolling(df: DataFrame, keys: Sequence[str], order: str, columns: Mapping[str, tuple[str, str | None]], ttl: timedelta | None = None) -> DataFrame:
+    """One row per input row with running values ``{name: (kind, column)}``; a key without rows for ``ttl`` (by the clock) starts anew."""
     types = dict(df.dtypes)
     out = ["bigint" if kind == "count" or (kind == "sum" and types[field] in INTEGERS) else types[field] for kind, field in columns.values()]
     fields = [f"v{i} {kind}" for i, kind in enumerate(out)]
     rows = df.withColumn("seq", _place(df, order))
-    folded = _run(rows, keys, p.RollingFold(list(keys), list(columns.values()), ", ".join(fields)),
-                  f"seq bigint, {', '.join(fields)}")
+    folded = _run(rows, keys, p.RollingFold(list(keys), list(columns.values()), ", ".join(fields), ttl and micros(ttl) // 1000),
+                  f"seq bigint, {', '.join(fields)}", "ProcessingTime" if ttl else "None")
     return folded.select(*keys, F.col("seq").alias(order), *[F.col(f"v{i}").alias(n) for i, n in enumerate(columns)])
 
 
@@ -114,34 +114,56 @@ def with_context(df: DataFrame, keys: Sequence[str], order: str, ts: str, cancel
 
 def payment_timer(df: DataFrame, keys: Sequence[str], order: str, ts: str, is_create: Column, limit: timedelta) -> DataFrame:
     """Order status in arrival order, with a timer for the missing half."""
-    rows = df.select(*keys, ts, _place(df, order).alias("seq"), F.unix_millis(ts).alias("at"),
+    rows = df.select(*keys, ts, _place(df, order).alias("seq"), epoch_micros(F.col(ts)).alias("at"),
                      is_create.alias("is_create"))
-    return _run(rows, keys, p.PaymentTimer(list(keys), micros(limit) // 1000), "status string", "EventTime")
+    return _run(rows, keys, p.PaymentTimer(list(keys), micros(limit)), "status string", "EventTime")
 
 
-def rising_alerts(df: DataFrame, keys: Sequence[str], order: str, ts: str, value: str, hold: timedelta) -> DataFrame:
+def rising_alerts(df: DataFrame, keys: Sequence[str], order: str, ts: str, value: str, hold: timedelta, ttl: timedelta | None = None) -> DataFrame:
+    """``start_ts`` and ``fire_ts`` of alerts (also in milliseconds, ``start_at`` and ``fire_at``). A row that comes after the watermark has
+    passed it is a row with only ``late_seq`` set, its place in ``order``; so in the other rules here. ``ttl``: a key is forgotten after so
+    long without a row, in event time."""
     kind = _wide(df, value)
     rows = _events(df, keys, order, ts, [], F.col(value).cast(kind))
-    return _run(rows, keys, p.RisingAlerts(list(keys), micros(hold) // 1000, kind), "start_at bigint, fire_at bigint", "EventTime")
+    found = _run(rows, keys, p.RisingAlerts(list(keys) or [EVERY], micros(hold), kind, ttl and micros(ttl)), "start_us bigint, fire_us bigint, late_seq bigint", "EventTime")
+    return found.select(*keys, *[F.floor(F.col(f"{n}_us") / 1000).alias(f"{n}_at") for n in ("start", "fire")],
+                        *[F.timestamp_micros(f"{n}_us").alias(f"{n}_ts") for n in ("start", "fire")], "late_seq")
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], order: str, ts: str, start: Column,
-                   steps: Sequence[Step], within: timedelta | None = None) -> DataFrame:
-    """Matches (``matched``) and timed-out partial matches, with their events as JSON texts."""
+                   steps: Sequence[Step], within: timedelta | None = None, ttl: timedelta | None = None) -> DataFrame:
+    """Matches (``matched``) and timed-out partial matches, with their events as JSON texts. Without keys, all rows are one sequence."""
     rows = _events(df, keys, order, ts, [start, *[s.where for s in steps]], F.lit(None).cast("bigint"))
-    limit = None if within is None else micros(within) // 1000
-    return _run(rows, keys, p.SequenceMatcher(list(keys), [s.how for s in steps], limit),
-                "matched boolean, events array<string>, timeout_at bigint", "EventTime")
+    limit = None if within is None else micros(within)
+    found = _run(rows, keys, p.SequenceMatcher(list(keys) or [EVERY], [s.how for s in steps], limit, ttl and micros(ttl)),
+                 "matched boolean, events array<string>, timeout_us bigint, late_seq bigint", "EventTime")
+    return found.select(*keys, "matched", "events", F.floor(F.col("timeout_us") / 1000).alias("timeout_at"),
+                        F.timestamp_micros("timeout_us").alias("timeout_ts"), "late_seq")
+
+
+def match_times(df: DataFrame, keys: Sequence[str], order: str, ts: str, where: Column, least: int, most: int | None = None,
+                within: timedelta | None = None, ttl: timedelta | None = None) -> DataFrame:
+    """``start_no, times, events``: runs of ``least`` to ``most`` fitting rows from every start, events as JSON texts."""
+    rows = _events(df, keys, order, ts, [where], F.lit(None).cast("bigint"))
+    limit = None if within is None else micros(within)
+    return _run(rows, keys, p.TimesMatcher(list(keys) or [EVERY], least, most or least, limit, ttl and micros(ttl)),
+                "start_no bigint, times bigint, events array<string>, late_seq bigint", "EventTime")
+
+
+EVERY = "__every"  # the key of rules over all rows: one state in one task, as such a rule is
 
 
 def _events(df, keys, order, ts, marks, value):
+    """The rows of a rule. The column that carries the watermark stays out: with it, Spark would drop late rows before they get here."""
     flags = [F.coalesce(m, F.lit(False)) for m in marks] or [F.lit(False)]
     payload = F.to_json(F.struct(*df.columns)) if marks else F.lit(None).cast("string")
-    return df.select(*keys, ts, F.unix_millis(ts).alias("at"), _place(df, order).alias("seq"),
+    return df.select(*keys, epoch_micros(F.col(ts)).alias("at"), _place(df, order).alias("seq"),
                      value.alias("value"), payload.alias("payload"), F.array(*flags).alias("marks"))
 
 
 def _run(rows, keys, processor, schema, time_mode="None"):
+    if not keys:
+        return _run(rows.withColumn(EVERY, F.lit(0)), [EVERY], processor, schema, time_mode).drop(EVERY)
     types = dict(rows.dtypes)
     keyed = ", ".join(f"`{k}` {types[k]}" for k in keys)
     return rows.groupBy(*keys).transformWithState(processor, f"{keyed}, {schema}", "Append", time_mode)
