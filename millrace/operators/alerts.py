@@ -185,11 +185,12 @@ def _schema(df: DataFrame, columns: Sequence[str], *times: str) -> str:
 
 
 def switched(df: DataFrame, arrival: Sequence[str], is_control: Column, setting: Column,
-             max_rows: int | None = None) -> DataFrame:
-    """Main rows with ``switch``: "on" when the newest control row before them is "1", else "off"."""
+             max_rows: int | None = None, before: Column | None = None) -> DataFrame:
+    """Main rows with ``switch``: "on" when the newest control row before them is "1", else "off". ``before``: the setting before all rows."""
     rows = ordered(df.withColumn("__control", is_control), [], arrival, max_rows).running(
         {"__setting": latest(F.when(F.col("__control"), setting))}).to_df()
-    on = F.coalesce(F.col("__setting") == "1", F.lit(False))
+    setting_ = F.col("__setting") if before is None else F.coalesce("__setting", before)
+    on = F.coalesce(setting_ == "1", F.lit(False))
     return rows.where(~F.col("__control")).withColumn(
         "switch", F.when(on, "on").otherwise("off")).drop("__control", "__setting")
 

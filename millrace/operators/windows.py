@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import timedelta
 from typing import Iterator, Tuple  # noqa: UP035  the forms that Spark looks for
@@ -109,6 +110,21 @@ def count_sliding(df: DataFrame, keys: Sequence[str], order: Sequence[str], size
     return out.where(F.col("__last") == F.col("fired_at")).drop("__last")
 
 
+def count_sliding_panes(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int, aggs: Folds,
+                        max_rows: int | None = None) -> DataFrame:
+    """`count_sliding` for aggregates that merge: rows fold into panes that no window cuts, and panes are copied instead of rows."""
+    pane = math.gcd(size, slide)
+    numbered = ordered(df, keys, order, max_rows).running({"__rn": count()}).to_df()
+    at = F.floor((F.col("__rn") - 1) / pane).alias("__pane")
+    panes = numbered.groupBy(*keys, at).agg(*_fold(aggs), F.count(F.lit(1)).alias("__rows"))
+    end = (F.col("__pane") + 1) * pane  # the row that fills the pane
+    from_, to = F.ceil(end / slide) * slide, F.floor((end + size - pane) / slide) * slide
+    fires = F.when(from_ <= to, F.sequence(from_, to, F.lit(slide).cast("bigint")))
+    copied = panes.withColumn("fired_at", F.explode(fires)).withColumn("__filled", (end == F.col("fired_at")) & (F.col("__rows") == pane))
+    out = copied.groupBy(*keys, "fired_at").agg(*_merge(aggs), F.max("__filled").alias("__fires"))
+    return out.where("__fires").drop("__fires")
+
+
 def _bounds(df: DataFrame) -> DataFrame:
     others = [c for c in df.columns if c != "window"]
     return df.select(F.col("window.start").alias("window_start"),

@@ -9,7 +9,7 @@ from millrace.functions.spans import epoch_micros
 from millrace.operators.windows import tumbling
 from millrace.plans.registry import query, table
 from millrace.plans.timed import ARRIVALS
-from millrace.streaming import late
+from millrace.streaming import control, late
 
 MINUTE, HOUR = timedelta(minutes=1), timedelta(hours=1)
 
@@ -37,33 +37,37 @@ def stream_pv_hourly(spark, folder):
     return parts.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "pv")
 
 
-def _delivered(spark, folder, run, pieces=4):
-    """The classified arrivals as a stream in several deliveries, each a run of its own that goes on from the checkpoint.
+def _delivered(spark, rows, place, run, pieces=4):
+    """``rows`` as a stream in several deliveries, stretches of ``place``; each is a run of its own that goes on from the checkpoint.
 
-    ``run`` gives the writer for a stream of (event_id, ts, user_id, arrived). Deliveries are stretches of arrival time.
+    ``run`` gives the writer for the stream and the folder of its outputs, which is returned.
     """
-    late = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") * 7919 % 600)
-    events = table(spark, folder, "events").select("event_id", "ts", "user_id").withColumn("arrived", F.col("ts") + late)
-    place = epoch_micros(F.col("arrived"))
-    cuts = events.select(place.alias("at")).approxQuantile("at", [k / pieces for k in range(1, pieces)], 0.01)
-    home = run_folder(spark, "arrivals")
+    cuts = rows.select(place.alias("at")).approxQuantile("at", [k / pieces for k in range(1, pieces)], 0.01)
+    home = run_folder(spark, "deliveries")
     stretch = sum((F.coalesce(place > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
     for k in range(len(cuts) + 1):
-        events.where(stretch == k).write.parquet(f"{home}/in/piece{k}")
-        stream = spark.readStream.schema(events.schema).parquet(f"{home}/in/*")
+        rows.where(stretch == k).write.parquet(f"{home}/in/piece{k}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{home}/in/*")
         writer = run(stream, home).option("checkpointLocation", f"{home}/checkpoint")
         writer.trigger(availableNow=True).start().awaitTermination()
     remove_folder(spark, f"{home}/in")
     return home
 
 
+def _arrivals(spark, folder, run):
+    """Events in the order of arrival."""
+    late_by = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") * 7919 % 600)
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id").withColumn("arrived", F.col("ts") + late_by)
+    return _delivered(spark, events, epoch_micros(F.col("arrived")), run)
+
+
 @query(f"with {ARRIVALS} select event_id, user_id, window_end from c where status = 'late'")
 def stream_late_rows(spark, folder):
     """The side output of five-minute windows with two minutes of grace, from a stream in four deliveries."""
     def run(stream, home):
         return late.judged(stream, f"{home}/latest", ["arrived", "event_id"], "ts", 5 * MINUTE, late.late_only(f"{home}/late"), allowed=2 * MINUTE)
 
-    home = _delivered(spark, folder, run)
+    home = _arrivals(spark, folder, run)
     return spark.read.parquet(f"{home}/late").select("event_id", "user_id", "window_end")
 
 
@@ -78,6 +82,21 @@ def stream_late_merge(spark, folder):
         totals = late.Totals(spark, f"{home}/totals", [*keys, "status"], {"rows": ("count", None)}, fold=3)
         return late.judged(stream, f"{home}/latest", ["arrived", "event_id"], "ts", 5 * MINUTE, late.merging(totals), allowed=2 * MINUTE)
 
-    home = _delivered(spark, folder, run)
+    home = _arrivals(spark, folder, run)
     totals = late.Totals(spark, f"{home}/totals", [*keys, "status"], {"rows": ("count", None)})
     return late.by_status(totals.table(), keys, "rows")
+
+
+@query("""with c as (select event_id, event_type, last_value(case when event_type = 'signup' then user_id % 2 end ignore nulls)
+    over (order by event_id rows unbounded preceding) as s_now from events)
+select event_id as seq, case when s_now = 1 then 'on' else 'off' end as switch from c where event_type <> 'signup'""")
+def stream_switch_state(spark, folder):
+    """The switch over a stream in four deliveries."""
+    def run(stream, home):
+        is_control, setting = F.col("event_type") == "signup", (F.col("user_id") % 2).cast("string")
+        save = lambda rows, batch_id: rows.select("seq", "switch").write.mode("overwrite").parquet(f"{home}/out/batch={batch_id}")
+        return control.switched(stream, f"{home}/setting", "seq", is_control, setting, save)
+
+    events = table(spark, folder, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type")
+    home = _delivered(spark, events, F.col("seq"), run)
+    return spark.read.parquet(f"{home}/out").select("seq", "switch")

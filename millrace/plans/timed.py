@@ -105,6 +105,18 @@ def count_window_slide(spark, folder):
     return windows.count_sliding(readings(spark, folder), ["id"], ["seq"], 5, 2, F.sum("vc").alias("total"))
 
 
+@query(f"""with {READINGS}, n as (select *, row_number() over w as fired_at,
+  sum(vc) over (partition by id order by seq rows between 11 preceding and current row) as s,
+  max(vc) over (partition by id order by seq rows between 11 preceding and current row) as high,
+  count(*) over (partition by id order by seq rows between 11 preceding and current row) as cnt
+  from r window w as (partition by id order by seq))
+select id, fired_at, cast(s as bigint) as total, high, cnt from n where fired_at % 8 = 0""")
+def count_window_panes(spark, folder):
+    """The last 12 rows of a key at every 8th, from panes of 4."""
+    folds = {"total": ("sum", "vc"), "high": ("max", "vc"), "cnt": ("count", None)}
+    return windows.count_sliding_panes(readings(spark, folder), ["id"], ["seq"], 12, 8, folds)
+
+
 @query(f"""with {READINGS}, h as (select seq, id, time_bucket(interval '1 hour', ts) as window_start from r),
 f as (select *, row_number() over (partition by window_start, id order by seq) = 1 as is_new from h)
 select seq, window_start, count(case when is_new then 1 end)

@@ -22,8 +22,8 @@ ZERO = timedelta(0)
 Write = Callable[[DataFrame, int], None]
 
 
-class Latest:
-    """The latest event time by batch. A batch reads what the one before left, so running it again gives the same."""
+class Carried:
+    """A value by batch, such as the latest event time. A batch reads what the one before left, so running it again gives the same."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -32,12 +32,12 @@ class Latest:
         earlier = [n for n in written(self.spark, self.folder, "batch") if n < batch_id]
         if not earlier:
             return None
-        found = self.spark.read.schema("latest string").parquet(f"{self.folder}/batch={earlier[-1]}").first()
-        return F.lit(found.latest).cast(kind)
+        found = self.spark.read.schema("value string").parquet(f"{self.folder}/batch={earlier[-1]}").first()
+        return F.lit(found.value).cast(kind)
 
-    def put(self, batch: DataFrame, ts: str, since: Column | None, batch_id: int) -> None:
-        latest = F.max(ts) if since is None else F.greatest(F.max(ts), since)
-        batch.agg(latest.cast("string").alias("latest")).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
+    def put(self, one: DataFrame, batch_id: int) -> None:
+        """``one``: a row with the value."""
+        one.toDF("value").select(F.col("value").cast("string")).write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}")
         for old in written(self.spark, self.folder, "batch")[:-2]:  # the one before stays, for a batch that runs again
             remove_folder(self.spark, f"{self.folder}/batch={old}")
 
@@ -52,14 +52,14 @@ def judged(df: DataFrame, folder: str, arrival: Sequence[str], ts: str, size: ti
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        latest = Latest(batch.sparkSession, folder)
-        since = latest.before(batch_id, dict(batch.dtypes)[ts])
+        carried = Carried(batch.sparkSession, folder)
+        since = carried.before(batch_id, dict(batch.dtypes)[ts])
         batch = batch.persist()
         rows = lateness.classify(batch, arrival, ts, size, bound, allowed, slide, since=since).persist()
         try:
             for write in writes:
                 write(rows, batch_id)
-            latest.put(batch, ts, since, batch_id)
+            carried.put(batch.agg(F.max(ts) if since is None else F.greatest(F.max(ts), since)), batch_id)
         finally:
             rows.unpersist()
             batch.unpersist()

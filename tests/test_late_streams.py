@@ -8,8 +8,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.checkpoints import written
-from millrace.operators import lateness
-from millrace.streaming import late
+from millrace.operators import alerts, lateness
+from millrace.streaming import control, late
 from samples import T0
 
 SECOND = timedelta(seconds=1)
@@ -81,3 +81,26 @@ def test_a_stream_without_rows(spark, replay, arrivals, tmp_path):
     judge(replay(arrivals.limit(0), arrivals.limit(0)), tmp_path, late.late_only(f"{tmp_path}/late")).start().awaitTermination()
     judge(replay(arrivals.where("et is null"), arrivals.where("seq < 5")), tmp_path / "b", late.late_only(f"{tmp_path}/b/late")).start().awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/b/late").count() == lateness.classify(arrivals.where("seq < 5"), ["seq"], "et", SIZE, allowed=GRACE).where("status = 'late'").count()
+
+
+def test_switch_goes_on_after_a_failure(spark, replay, tmp_path):
+    """The setting is carried over batches, also those without control rows, and a batch that runs again sees what it saw before."""
+    data = [(i, {3: "1", 9: "0", 10: "1", 22: "0"}.get(i)) for i in range(30)]
+    df = spark.createDataFrame(data, "seq bigint, setting string")
+    failing, seen = {1, 2}, {}
+
+    def write(batch, batch_id):
+        seen.update({r.seq: r.switch for r in batch.collect()})
+        if batch_id in failing:
+            failing.remove(batch_id)
+            raise RuntimeError("lost")
+
+    stream = replay(*pieces(df, 3, 8, 10, 20))
+    for _ in range(3):
+        try:
+            (control.switched(stream, f"{tmp_path}/setting", "seq", F.col("setting").isNotNull(), F.col("setting"), write)
+             .option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination())
+        except Exception as e:
+            assert "lost" in str(e)
+    want = alerts.switched(df, ["seq"], F.col("setting").isNotNull(), F.col("setting"))
+    assert not failing and sorted(seen.items(), key=repr) == rows(want, "seq", "switch")

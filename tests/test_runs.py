@@ -46,3 +46,17 @@ def test_rows_without_a_time():
     none = alerts.NO_TIME
     runs, times, timer = alerts.walk_runs(np.array([none, none, 5, 30]), np.zeros(4, bool), np.array([0, 2]), None, 10)
     assert (runs.tolist(), times.tolist(), timer) == ([1, 0], [15, alerts.NEVER], 40)
+
+
+@pytest.mark.parametrize("size, slide", [(6, 4), (4, 6), (5, 2), (3, 3), (1, 1)])
+def test_count_windows_by_panes(spark, size, slide):
+    from conftest import rows
+    from pyspark.sql import functions as F
+
+    from millrace.operators import windows
+
+    rng = random.Random(size)
+    df = spark.createDataFrame([(i, rng.choice("aab"), rng.choice([None, *range(9)])) for i in range(50)], "seq bigint, k string, v int")
+    got = windows.count_sliding_panes(df, ["k"], ["seq"], size, slide, {"n": ("count", None), "total": ("sum", "v"), "low": ("min", "v")})
+    want = windows.count_sliding(df, ["k"], ["seq"], size, slide, F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"), F.min("v").alias("low"))
+    assert rows(got, "k", "fired_at", "n", "total", "low") == rows(want, "k", "fired_at", "n", "total", "low") and want.count() > 4
