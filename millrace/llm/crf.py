@@ -116,14 +116,17 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+DIGIT = re.compile(r"\d")
+
+
 def features(b: Block, i: int, n: int) -> list[str]:
-    """Names of what is true of a block."""
-    size, words = len(b.text), b.text.count(" ") + 1
+    """Names of what is true of a block, judged by all of its text."""
+    size, words, digits = len(b.text), b.text.count(" ") + 1, len(DIGIT.findall(b.text))
     share = b.linked / size
     tags = set(b.path)
     out = ["bias", f"last={b.path[-1] if b.path else ''}", f"words={min(9, words.bit_length())}", f"links={0 if share < .05 else 1 if share < .5 else 2}",
-           f"stop={b.text[-1] in '.!?…'}", f"comma={b.text.count(',') > 0}", f"digits={sum(c.isdigit() for c in b.text[:200]) > 6}",
-           f"first={i == 0}", f"end={i == n - 1}", f"mark={'©' in b.text or '·' in b.text[:80]}"]
+           f"stop={b.text[-1] in '.!?…'}", f"comma={b.text.count(',') > 0}", f"digits={digits > 6 and digits > 0.03 * size}",
+           f"first={i == 0}", f"end={i == n - 1}", f"mark={'©' in b.text or b.text.count('·') * 80 > size}"]
     out += [f"in={t}" for t in tags if t in NAMED]
     out += [f"is={w}" for w in {stem(w) for w in b.marks}]
     return out

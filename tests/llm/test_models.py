@@ -303,3 +303,10 @@ def test_partial_passages_and_long_items():
     assert [latent.passages(n) for n in (5, 64, 65)] == [[(0, 5)], [(0, 64)], [(0, 32), (0, 64), (1, 65), (32, 65)]]
     for n in range(65, 300):  # any run of the longest needed length lies in one passage
         assert all(any(a <= k and k + latent.RUNS[1] <= b for a, b in latent.passages(n)) for k in range(n - latent.RUNS[1] + 1))
+
+
+def test_block_features_see_the_whole_text():
+    """Digits and marks are shares of the block, wherever they stand."""
+    features = lambda text: set(crf.features(crf.Block(text, (), (), 0), 1, 3))
+    assert "digits=True" in features("word " * 100 + "1234567 " * 20) and "digits=False" in features("1234567 " + "word " * 100)
+    assert "mark=True" in features("a · b") and "mark=True" in features("x" * 100 + " · a" * 60) and "mark=False" in features("a · b " + "word " * 100)
