@@ -215,17 +215,21 @@ def near_duplicates(docs: DataFrame, work: Workspace, percent: int = PERCENT, sh
     bands, rows = banding(percent)
     plain = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")))
     known = plain.filter("doc_id is not null")
+    if repeated_ids(known):
+        largest = F.max_by("text", F.struct(F.octet_length("text"), "text")).alias("text")
+        once = work.cut(known.groupBy("doc_id").agg(largest), "once")
+        found = near_duplicates(once.unionByName(plain.filter("doc_id is null")), work, percent, shingle)
+        return known.select("doc_id").join(found, "doc_id").unionByName(found.filter("doc_id is null"))
     sets = work.cut(signed(plain, bands, rows, shingle), "sets")
     filled = sets.filter("same is not null and doc_id is not null")
     classes = work.cut(filled.groupBy("same").agg(F.min("doc_id").alias("id")), "classes")
-    heads = filled.join(classes, (filled.same == classes.same) & (filled.doc_id == classes.id), "left_semi").dropDuplicates(["doc_id"])
+    heads = filled.join(classes, (filled.same == classes.same) & (filled.doc_id == classes.id), "left_semi")
     heads = work.cut(heads.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "marks"), "heads")
     spread = heads.select("id", F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     members = work.cut(spread.join(work.cut(shared, "shared"), ["band", "key"]), "members")
     sides = work.cut(heads.select("id", "n_shingles", "marks").join(members.select("id").distinct(), "id", "left_semi"), "sides")
     bodies = work.cut(known.join(sides.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi"), "bodies")
-    bodies = bodies.dropDuplicates(["doc_id"]) if repeated_ids(bodies) else bodies
     least = least_agreeing(percent, bands * rows)
     small, large = members.filter(F.col("n") <= LISTED), work.cut(members.filter(F.col("n") > LISTED).drop("n"), "large")
     met = (small.select("band", "key", F.col("id").alias("a")).join(small.select("band", "key", F.col("id").alias("b")), ["band", "key"])

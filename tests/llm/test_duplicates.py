@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import cases
+import pytest
 from cases import work  # noqa: F401
 import numpy as np
 
@@ -166,3 +167,13 @@ def test_repeats_edges(spark, work):
     assert (seen[3].n_words, seen[3].kept, seen[5].n_words) == (0, "", 0)
     assert seen[9].kept == "Ünïcode 漢字 \x1f \xa0 x"
     assert repeats.without_repeats(cases.empty(spark), work).collect() == []
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_the_largest_text_of_a_repeated_id(spark, work, turned):
+    """Whichever row comes first: an id stands for its largest text, and each of its rows gets the same answer."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words[:30][::-1])), (1, " ".join(words)), (1, None), (3, " ".join(words) + " more"), (None, " ".join(words)), (5, " ".join(words[:30][::-1]))]
+    docs = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id bigint, text string")
+    got = sorted([tuple(r) for r in neardup.near_duplicates(docs, work).select("doc_id", "n_shingles", "component_id", "kept").collect()], key=repr)
+    assert got == sorted([(1, 56, 1, True)] * 3 + [(3, 57, 1, False), (None, 56, None, True), (5, 26, 5, True)], key=repr)

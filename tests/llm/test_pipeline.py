@@ -23,7 +23,7 @@ def test_stages_and_whole_run(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in catalog.QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in catalog.QUERIES if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in catalog.QUERIES
 
 
