@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from datetime import timedelta
-from typing import Iterator, Tuple  # noqa: UP035  the forms that Spark looks for
+from itertools import chain, groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
@@ -22,6 +22,7 @@ MERGES = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max, "sketch": F.
 FOLDS = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "sketch": F.hll_sketch_agg, "bits": F.bitmap_construct_agg}
 
 STRETCH = 8  # sliding windows are summed in stretches of time this many windows long
+MOST_FOUND = 10_000  # rows of a function over whole windows that go back to Spark at once
 
 # name -> (count | sum | min | max | sketch | bits, column); a count without a column counts rows.
 Folds = Mapping[str, tuple[str, Column | str | None]]
@@ -131,24 +132,58 @@ def _bounds(df: DataFrame) -> DataFrame:
                      F.col("window.end").alias("window_end"), *others)
 
 
+def _cut(batches: Iterable[pa.RecordBatch], named: Sequence[str]) -> Iterator[tuple]:
+    """Sorted rows, cut where a window begins: the window's number in the task, the keys of all windows that begin in its batch (as rows and
+    as values) with its place there, and a piece of its rows. Only a window's first piece has the right keys."""
+    number = 0
+    for batch in batches:
+        first = batch.column("__first").to_pylist()
+        cuts = [k for k, f in enumerate(first) if f or not k]
+        rows = batch.drop_columns("__first")
+        heads = rows.select(named).filter(batch.column("__first"))
+        values = list(zip(*(c.to_pylist() for c in heads.columns)))
+        place = -1
+        for a, b in zip(cuts, [*cuts[1:], len(first)]):
+            number, place = number + first[a], place + first[a]
+            yield number, (heads, values, place), rows.slice(a, b - a)
+
+
 def processed(df: DataFrame, ts: str, size: timedelta, keys: Sequence[str], function: Callable[[tuple, Iterator[pa.RecordBatch]], Iterable[tuple]],
               schema: str) -> DataFrame:
     """A user function over each whole window: ``function(key, batches)`` gives rows of ``schema`` from the window's rows.
 
-    ``key`` is (start, end, *keys). The rows come as Arrow batches, one after the other, so a task never holds a window whole; what the
-    function keeps is its own. All rows of a (window, key) go to one task: what `sliding` and `tumbling` can fold should go there.
+    ``key`` is (start, end, *keys). The rows come in order of time as Arrow batches, one after the other, so a task never holds a window
+    whole; what the function keeps is its own. All rows of a (window, key) go to one task: what `sliding` and `tumbling` can fold should go there.
+    Small windows share a batch on their way to Python and back, because a stream of batches for each of them takes far longer than their rows.
     """
     rows = df.where(F.col(ts).isNotNull()).withColumn("__w", F.window(ts, text(size)))
     rows = rows.select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *df.columns)
     named = ["window_start", "window_end", *keys]
+    rows = rows.withColumn("__first", F.row_number().over(Window.partitionBy(*named).orderBy(ts)) == 1)
     types = dict(rows.dtypes)
     made = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in DataType.fromDDL(schema).fields])
 
-    def run(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = list(function(tuple(k.as_py() for k in key), batches))
-        own = [pa.array([k.as_py()] * len(found), k.type) for k in key]
+    def batch_of(heads: pa.RecordBatch, places: list[int], found: list[tuple]) -> pa.RecordBatch:
         columns = zip(*found) if found else [[] for _ in made]
-        yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, f.type) for c, f in zip(columns, made)]], [*named, *made.names])
+        own = heads.take(pa.array(places, pa.int64()))
+        return pa.RecordBatch.from_arrays([*own.columns, *[pa.array(c, f.type) for c, f in zip(columns, made)]], [*named, *made.names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, places, found = None, [], []
+        for _, pieces in groupby(_cut(batches, named), key=lambda piece: piece[0]):
+            _, (heads, values, place), rows = next(pieces)
+            if heads is not held:
+                if found:
+                    yield batch_of(held, places, found)
+                held, places, found = heads, [], []
+            for row in function(values[place], chain([rows], (more for *_, more in pieces))):
+                places.append(place)
+                found.append(row)
+                if len(found) == MOST_FOUND:
+                    yield batch_of(held, places, found)
+                    places, found = [], []
+        if found:
+            yield batch_of(held, places, found)
 
     out = ", ".join(f"`{k}` {types[k]}" for k in named)
-    return rows.groupBy(*named).applyInArrow(run, f"{out}, {schema}")
+    return rows.mapInArrow(run, f"{out}, {schema}")

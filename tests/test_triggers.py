@@ -142,3 +142,33 @@ def test_whole_windows_come_in_batches(spark, visits):
         assert windows.processed(visits.limit(0), "et", TEN, ["k"], _median, "cnt bigint, median double").count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_small_windows_share_a_batch(spark):
+    """A window is a piece of a batch, or of several; what the function leaves unread is not taken for the next window."""
+    data = [(k, T0 // 10 * 10 + 10 * w, v) for w in range(7) for k in ("a", None, "z") for v in range({"a": 1, None: 3, "z": 45}[k])]
+    df = spark.createDataFrame(data, "k string, s bigint, vc int").select("k", F.timestamp_seconds("s").alias("et"), "vc").repartition(5)
+
+    def whole(key, batches):
+        pieces = [(b.column("vc").offset, b.num_rows) for b in batches]
+        for _ in range(2 if key[2] == "a" else 1):
+            yield pieces[0][0], len(pieces), sum(n for _, n in pieces)
+
+    def some(key, batches):
+        if key[2] is None:
+            yield next(iter(batches)).num_rows > 0,
+        elif key[2] == "a":
+            yield True,
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = windows.processed(df, "et", TEN, ["k"], whole, "at int, parts int, n int").collect()
+        begins = {(r.window_start, r.k): r for r in got}
+        assert sorted((repr(r.k), r.n) for r in got) == sorted([("'a'", 1)] * 14 + [("None", 3)] * 7 + [("'z'", 45)] * 7)
+        assert len(begins) == 21 and all(r.window_end - r.window_start == TEN for r in got)
+        assert sum(r.at > 0 for r in begins.values()) >= 10  # of a batch that another window began
+        assert any(r.parts > 1 for r in begins.values() if r.k == "z")
+        left = windows.processed(df, "et", TEN, ["k"], some, "ok boolean").collect()
+        assert sorted(map(repr, (r.k for r in left))) == ["'a'"] * 7 + ["None"] * 7 and len({(r.window_start, r.k) for r in left}) == 14
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
