@@ -8,7 +8,6 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -72,9 +71,10 @@ def laid_out(docs: list[np.ndarray], length: int, spare: int = 0) -> tuple[np.nd
 
 def row_sums(index: np.ndarray, table: np.ndarray) -> np.ndarray:
     """For each row of ``index`` the sum of the rows of ``table`` that it names; the last row of ``table`` is zero."""
-    total = table[index[:, 0]]
-    for k in range(1, index.shape[1]):
-        total += table[index[:, k]]
+    total, more = table[index[:, 0]], None
+    for column in index.T[1:]:
+        more = np.take(table, column, 0, more, "clip")
+        total += more
     return total
 
 
@@ -116,10 +116,13 @@ def hashed(docs: DataFrame) -> DataFrame:
 def inverse_frequency(table: DataFrame) -> np.ndarray:
     """log(documents / documents with the term), smoothed, for each term."""
     def run(batches):
-        count = np.zeros(TERMS, np.int64)
+        count, last = np.zeros(TERMS, np.int64), np.zeros(TERMS, np.int64)
         for batch in batches:
             for x in batch.column("terms").to_pylist():
-                count[np.unique(np.frombuffer(x, np.uint16))] += 1
+                words = np.frombuffer(x, np.uint16)
+                place = np.arange(len(words))
+                last[words] = place
+                count[words[last[words] == place]] += 1  # each term where it stands last
         seen = np.flatnonzero(count)
         yield pa.RecordBatch.from_pydict({"term": pa.array(seen, pa.int32()), "docs": pa.array(count[seen], pa.int64())})
     found = table.mapInArrow(run, "term int, docs bigint").groupBy("term").agg(F.sum("docs").alias("docs")).collect()
@@ -216,16 +219,35 @@ def least_cosine(words: int, length: int) -> float:
     return -1.0 if words <= SHORT else COSINE * min(1, words / LONG) * math.sqrt(words / length)
 
 
-def common_words(near: np.ndarray, n: int) -> np.ndarray:
-    """`longest_common` of many rows at once, for passages of ``n`` <= 64 words: each row has the places in the passage of its words, as bits."""
-    full = np.uint64((1 << n) - 1)
-    v = np.full(len(near), full)
+def common_words(near: np.ndarray, n: int | np.ndarray) -> np.ndarray:
+    """`longest_common` of many rows at once, for passages of ``n`` <= 64 words (of one length, or one for each row): each row has the places in
+    its passage of its words, as bits. Words that are not in the passage, and columns of zeros, change nothing."""
+    n = np.broadcast_to(np.asarray(n, np.int64), len(near))
+    full = np.uint64((1 << 64) - 1) >> (64 - n).astype(np.uint64)
+    v = full.copy()
     for u in near.T:
         u = u & v
         v = ((v + u) | (v - u)) & full
     return n - np.bitwise_count(v).astype(np.int64)
 
 
+def standing(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``index`` in which each term stands, term after term, and where each term's rows begin."""
+    flat = index.ravel().astype(np.uint16)
+    starts = np.zeros(TERMS + 2, np.int64)
+    np.cumsum(np.bincount(flat, minlength=TERMS + 1), out=starts[1:])
+    return np.argsort(flat, kind="stable") // index.shape[1], starts
+
+
+def any_of(held: np.ndarray, width: int) -> np.ndarray:
+    """The bits of each ``width`` neighbours together."""
+    have = 1
+    while 2 * have <= width:
+        held = held[:-have] | held[have:]
+        have *= 2
+    return held[:have - width] | held[width - have:] if have < width else held
+
+
 def needed_run(n: int) -> int:
     return min(n, max(RUNS[0], min(RUNS[1], -(-n // 2))))
 
@@ -262,9 +284,11 @@ class Items:
                 piece = terms(words[a:b])
                 v = term_map[piece].sum(0)
                 length = next(n for n in LENGTHS if n >= b - a)
-                vectors[length].append((len(self.ids) - 1, a, v / max(np.linalg.norm(v), 1e-12), piece))
-        self.queries = {n: ([(i, at, piece) for i, at, _, piece in vs], np.array([v for _, _, v, _ in vs], np.float32),
-                            np.array([least_cosine(len(piece), n) for *_, piece in vs], np.float32)) for n, vs in vectors.items() if vs}
+                places = positions(piece.tolist())
+                vectors[length].append(((len(self.ids) - 1, a, b - a, np.array(list(places)), np.array(list(places.values()), np.uint64)),
+                                        v / max(np.linalg.norm(v), 1e-12), least_cosine(b - a, length)))
+        self.queries = {n: ([where for where, *_ in vs], np.array([v for _, v, _ in vs], np.float32),
+                            np.array([least for *_, least in vs], np.float32)) for n, vs in vectors.items() if vs}
 
     def search(self, docs: list[np.ndarray]):
         """(document, item, cosine, first word, first word of the item's passage, its length) of windows whose cosine with a passage is high enough and
@@ -280,7 +304,30 @@ class Items:
         windows, real = blocks[:n].copy(), index[:n, 0] < TERMS
         gap = np.full((longest, STEP), TERMS, np.int64)
         flat = np.concatenate([gap, index, gap])
+        rows, starts = standing(flat)
+        starts = starts.tolist()
         at = np.zeros(TERMS + 1, np.uint64)  # of the passage in hand, a bit for each place of a term
+        held = np.zeros(len(flat), np.uint64)  # and for each place of the terms that stand in a block
+        limit, hit = np.empty(n, np.float32), np.empty(n, bool)
+        near, left, waiting = [], [], 0
+
+        def enough():
+            """Of the windows that wait, those with enough of their passage in common order."""
+            lengths = np.repeat([where[2] for where, *_ in left], [len(w) for _, w, _ in left])
+            widest = max(x.shape[1] for x in near)
+            padded = np.zeros((waiting, widest), np.uint64)
+            low = 0
+            for x in near:
+                padded[low:low + len(x), :x.shape[1]] = x
+                low += len(x)
+            good = (common_words(padded, lengths) >= np.ceil(LEAST_SHARE * lengths)).tolist()
+            low = 0
+            for (item, offset, m, *_), some, cosines in left:
+                for w, cosine, fits in zip(some.tolist(), cosines.tolist(), good[low:low + len(some)]):
+                    if fits:
+                        yield int(owner[w]), item, cosine, (w - int(first[owner[w]])) * STEP, offset, m
+                low += len(some)
+
         for span in range(1, longest + 1):
             if span > 1:
                 windows += blocks[span - 1:span - 1 + n]
@@ -292,26 +339,32 @@ class Items:
             for low in range(0, len(queries), 1024):
                 cosines = queries[low:low + 1024] @ windows.T
                 for q, row in enumerate(cosines, low):
-                    item, offset, piece = where[q]
-                    hit = np.flatnonzero((row >= least[q] * norms) & real)
-                    if not len(hit):
+                    np.greater_equal(row, np.multiply(norms, least[q], out=limit), out=hit)
+                    hit &= real
+                    if not hit.any():
                         continue
-                    m = len(piece)
+                    _, _, m, piece, places = where[q]
                     need = math.ceil(LEAST_SHARE * m)
-                    at[piece] = 0
-                    np.bitwise_or.at(at, piece, np.uint64(1) << np.arange(m, dtype=np.uint64))
                     before, after = -(-(m // 4 + STEP) // STEP), -(-(m + m // 4 + STEP) // STEP)  # in blocks
-                    placed = at[flat]
-                    held = placed[:, 0] | placed[:, 1]
-                    for k in range(2, STEP):
-                        held |= placed[:, k]
-                    near = sliding_window_view(held, before + after)[hit + (len(gap) - before)]
-                    good = hit[np.bitwise_count(np.bitwise_or.reduce(near, 1)) >= need]  # in any order
+                    held[:] = 0
+                    for term, bits in zip(piece.tolist(), places):
+                        if starts[term] < starts[term + 1]:
+                            held[rows[starts[term]:starts[term + 1]]] |= bits
+                    hit &= np.bitwise_count(any_of(held[len(gap) - before:n + len(gap) + after - 1], before + after)) >= need  # in any order
+                    good = np.flatnonzero(hit)
+                    if not len(good):
+                        continue
+                    at[piece] = places
                     for some in np.array_split(good, len(good) // 20_000 + 1):
-                        near = placed[some[:, None] + np.arange(len(gap) - before, len(gap) + after)].reshape(len(some), (before + after) * STEP)
-                        for w in some[common_words(near, m) >= need]:
-                            yield int(owner[w]), item, float(row[w] / norms[w]), int(w - first[owner[w]]) * STEP, offset, m
+                        near.append(at[flat[some[:, None] + np.arange(len(gap) - before, len(gap) + after)]].reshape(len(some), -1))
+                        left.append((where[q], some, row[some] / norms[some]))
+                        waiting += len(some)
+                        if waiting >= 20_000:
+                            yield from enough()
+                            near, left, waiting = [], [], 0
                     at[piece] = 0
+        if waiting:
+            yield from enough()
 
     def quoted(self, i: int, offset: int, m: int, words: list[bytes], start: int) -> bool:
         """Whether the words around a window hold a needed run of the item, or the passage at ``offset`` of a long item in common order."""

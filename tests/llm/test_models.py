@@ -310,3 +310,32 @@ def test_block_features_see_the_whole_text():
     features = lambda text: set(crf.features(crf.Block(text, (), (), 0), 1, 3))
     assert "digits=True" in features("word " * 100 + "1234567 " * 20) and "digits=False" in features("1234567 " + "word " * 100)
     assert "mark=True" in features("a · b") and "mark=True" in features("x" * 100 + " · a" * 60) and "mark=False" in features("a · b " + "word " * 100)
+
+
+def test_search_takes_each_window_by_the_plain_rule(monkeypatch):
+    """All windows and passages one by one, on words that repeat; and terms are compared in order for many items at once."""
+    rng = random.Random(12)
+    vocabulary = [b"v%d" % k for k in range(60)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [some(n) for n in (1, 2, 4, 5, 8, 9, 20, 33, 64, 70) for _ in range(4)]
+    docs = [[], some(3), some(700), *([*some(rng.randrange(40)), *words[2:], *some(20)] for words in items)]
+    term_map = np.random.default_rng(3).normal(size=(latent.TERMS, 40)).astype(np.float32)
+    want = set()
+    for d, words in enumerate(docs):
+        for i, item in enumerate(items):
+            for a, b in latent.passages(len(item)):
+                m, length = b - a, next(n for n in latent.LENGTHS if n >= b - a)
+                v = term_map[latent.terms(item[a:b])].sum(0)
+                places = latent.positions(latent.terms(item[a:b]).tolist())
+                before, after = -(-(m // 4 + latent.STEP) // latent.STEP) * latent.STEP, -(-(m + m // 4 + latent.STEP) // latent.STEP) * latent.STEP
+                for start in range(0, len(words), latent.STEP):
+                    w = term_map[latent.terms(words[start:start + length])].sum(0)
+                    near = latent.terms(words[max(0, start - before):start + after]).tolist()
+                    if v @ w / np.linalg.norm(v) >= latent.least_cosine(m, length) * np.linalg.norm(w) and latent.longest_common(places, m, near) >= m / 2:
+                        want.add((d, i, start, a, m))
+    calls, common_words = [], latent.common_words
+    monkeypatch.setattr(latent, "common_words", lambda near, n: calls.append(len(near)) or common_words(near, n))
+    known = latent.Items([(i, b" ".join(w)) for i, w in enumerate(items)], term_map)
+    got = [(d, i, start, a, m) for d, i, _, start, a, m in known.search([latent.terms(w) for w in docs])]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 500
+    assert len(calls) <= 1 + sum(calls) // 20_000
